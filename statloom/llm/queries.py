@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import fingerprints, neardup, util
+from . import bpe, fingerprints, langid, mixing, neardup, quality, util
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,9 +22,32 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.groups(table(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.positions(table(spark, sf_dir, "documents"))
+
+
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode(table(spark, sf_dir, "documents"), check=True)
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.clean_lines(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_fingerprints": op1_fingerprints, "op2_near_duplicates": op2_near_duplicates}
+    return {
+        "op1_fingerprints": op1_fingerprints,
+        "op2_near_duplicates": op2_near_duplicates,
+        "op5_language_id": op5_language_id,
+        "op6_mixing": op6_mixing,
+        "op7_bpe": op7_bpe,
+        "op8_quality": op8_quality,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_language_id": langid.oracle(), "op6_mixing": mixing.ORACLE, "op8_quality": quality.oracle()}
