@@ -161,7 +161,9 @@ def decode(span: str, model: CharModel) -> str:
     for i, c in enumerate(low):
         new: dict[tuple[int, int, int], tuple[float, str]] = {}
         folded = _FOLD.get(c, c)
-        repeat = AGAIN if i > 1 and low[i - 1] == low[i - 2] == c else REPEAT
+        # a letter spelled out after a separator is a new one
+        apart = i == 0 or not (low[i - 1].isalnum() or low[i - 1] in LOOKS)
+        repeat = -math.inf if apart else AGAIN if i > 1 and low[i - 1] == low[i - 2] == c else REPEAT
         for state, (lp, text) in states.items():
             last = text[-1:] if text and text[-1] != " " else ""
             if c.isspace():
