@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprints, langid, mixing, neardup, quality, toxicity, util
+from . import bpe, fingerprints, langid, lm, mixing, neardup, quality, toxicity, util, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,14 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.clean_lines(table(spark, sf_dir, "documents"))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_fingerprints": op1_fingerprints,
@@ -51,8 +59,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_mixing": op6_mixing,
         "op7_bpe": op7_bpe,
         "op8_quality": op8_quality,
+        "op9_lm_scoring": op9_lm_scoring,
+        "op10_warc": op10_warc,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_language_id": langid.oracle(), "op6_mixing": mixing.ORACLE, "op8_quality": quality.oracle()}
+    return {"op5_language_id": langid.oracle(), "op6_mixing": mixing.ORACLE, "op8_quality": quality.oracle(), "op10_warc": warc.ORACLE}
