@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprints, langid, lm, mixing, neardup, quality, toxicity, util, warc
+from . import bpe, fingerprints, langid, lm, mixing, neardup, pii, quality, toxicity, util, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.sanitised(table(spark, sf_dir, "documents"))
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
@@ -55,6 +59,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_fingerprints": op1_fingerprints,
         "op2_near_duplicates": op2_near_duplicates,
         "op3_toxicity": op3_toxicity,
+        "op4_pii": op4_pii,
         "op5_language_id": op5_language_id,
         "op6_mixing": op6_mixing,
         "op7_bpe": op7_bpe,

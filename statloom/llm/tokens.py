@@ -112,3 +112,16 @@ def cut(batch: pa.RecordBatch, rows: int = 2000) -> Iterator[pa.RecordBatch]:
     """Smaller batches, so that what Python holds stays small."""
     for i in range(0, batch.num_rows, rows):
         yield batch.slice(i, rows)
+
+
+def beginnings(raw: np.ndarray, off: np.ndarray, start: np.ndarray, doc: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, document) of the first ``n`` bytes of each word that has so many; the hash of a word of ``n`` bytes is
+    that of the word."""
+    h = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_RND[raw] * powers(len(raw)), out=h[1:])
+    inside = np.concatenate([[0], np.cumsum(~_WORD[raw])])
+    fits = start + n <= off[doc + 1]
+    s, d = start[fits], doc[fits]
+    fits = inside[s + n] == inside[s]
+    s, d = s[fits], d[fits]
+    return mix((h[s + n] - h[s]) * powers(len(raw), _INV)[s] ^ np.uint64(n)), d
