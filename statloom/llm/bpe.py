@@ -16,6 +16,8 @@ result. Texts are encoded whole.
 from __future__ import annotations
 
 import base64
+import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +28,8 @@ from . import tokens, util
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"'(?:[sdmt]|re|ve|ll)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_REMEMBER = 250_000  #: fragments a worker remembers; results don't depend on it
+_WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_REMEMBER = 800_000  #: fragments a worker remembers; results don't depend on it
 _coders: dict[int, Coder] = {}
 
 
@@ -42,31 +45,36 @@ class Coder:
         for t in self.rank:
             for a, b in zip(t, t[1:]):
                 self.inside[a, b] = True
+        self.joined = self.inside.tobytes()
+        self.never = len(self.token)
         self.pieces = regex.compile(pattern).findall
         blank = [9, 10, 11, 12, 13, 32]
         ink = [b for b in range(256) if b not in blank and not 28 <= b <= 31 and b != 0x85]
         self.forced_blank = not self.inside[np.ix_([b for b in ink if b < 128], blank)].any()
-        # white space, then everything up to the next white space; the pattern and Python agree on \s beyond ASCII
-        self.fragments = regex.compile(r"\s*\S+|\s+").findall if self.forced_blank else lambda text: [text] if text else []
+        # white space, then everything up to the next white space (as the pattern has it: White_Space of Unicode)
+        self.fragments = re.compile(f"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+").findall if self.forced_blank else lambda text: [text] if text else []
         self.memo: dict[str, bytes] = {}
         self.size = np.array([len(t) for t in self.token], np.int64)
 
     def merge(self, piece: bytes) -> list[int]:
         """Tokens of a run of bytes by merging the pair of least rank, leftmost first, again and again."""
-        whole = self.rank.get(piece)
+        get, never = self.rank.get, self.never
+        whole = get(piece)
         if whole is not None:
             return [whole]
-        parts = [piece[i : i + 1] for i in range(len(piece))]
-        while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                r = self.rank.get(parts[i] + parts[i + 1])
-                if r is not None and (best is None or r < best):
-                    best, at = r, i
-            if best is None:
+        cut = list(range(len(piece) + 1))
+        ranks = [get(piece[i : i + 2], never) for i in range(len(piece) - 1)]
+        while ranks:
+            best = min(ranks)
+            if best == never:
                 break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return [self.rank[p] for p in parts]
+            i = ranks.index(best)
+            del ranks[i], cut[i + 1]
+            if i < len(ranks):
+                ranks[i] = get(piece[cut[i] : cut[i + 2]], never)
+            if i:
+                ranks[i - 1] = get(piece[cut[i - 1] : cut[i + 1]], never)
+        return [self.rank[piece[a:b]] for a, b in zip(cut, cut[1:])]
 
     def merge_long(self, piece: bytes) -> list[int]:
         """The same in n log n time, for long runs."""
@@ -98,20 +106,26 @@ class Coder:
         return [self.rank[piece[i : end[i]]] for i in range(n) if alive[i]]
 
     def encode_piece(self, piece: bytes) -> list[int]:
-        if len(piece) < 2:
-            return [self.rank[piece]] if piece else []
-        raw = np.frombuffer(piece, np.uint8)
-        forced = np.flatnonzero(~self.inside[raw[:-1], raw[1:]]) + 1
+        if len(piece) >= 64:
+            raw = np.frombuffer(piece, np.uint8)
+            forced = (np.flatnonzero(~self.inside[raw[:-1], raw[1:]]) + 1).tolist()
+        else:
+            joined = self.joined
+            forced = [i + 1 for i in range(len(piece) - 1) if not joined[piece[i] << 8 | piece[i + 1]]]
+        if not forced:
+            return self.merge(piece) if len(piece) < 64 else self.merge_long(piece)
         out: list[int] = []
         for a, b in zip([0, *forced], [*forced, len(piece)]):
             out += (self.merge if b - a < 64 else self.merge_long)(piece[a:b])
         return out
 
     def encode_fragment(self, fragment: str) -> bytes:
-        ids: list[int] = []
-        for piece in self.pieces(fragment):
-            ids += self.encode_piece(piece.encode())
-        got = np.array(ids, np.int32).tobytes()
+        pieces = self.pieces(fragment)
+        if len(pieces) > 1:
+            get = self.memo.get
+            got = b"".join([get(p) or self.encode_fragment(p) for p in pieces])
+        else:
+            got = array("i", self.encode_piece(fragment.encode())).tobytes()
         if len(fragment) <= 64:
             if len(self.memo) >= _REMEMBER:
                 self.memo.clear()

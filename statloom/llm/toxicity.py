@@ -319,18 +319,45 @@ def _words(text: str) -> list[str]:
     return re.findall(r"[^\W_]+", text.lower().translate(_fold_table))
 
 
+_CONTEXT = 24  #: bits of a context's hash; the rest of 64 are the word's
+
+
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["word", "context", "toxic"]
+    """Distinct (word, context) of each class as one number, and once for each word its text."""
+    import xxhash
+
+    names = ["key", "toxic", "word"]
+    known: dict[str, int] = {}
+    held: dict[bool, list[np.ndarray]] = {False: [], True: []}
+    size = 0
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        for toxic, parts in held.items():
+            if parts:
+                k = np.unique(np.concatenate(parts)).view(np.int64)
+                yield pa.record_batch([pa.array(k), pa.array(np.full(len(k), toxic)), pa.nulls(len(k), pa.string())], names=names)
+            parts.clear()
+
     for whole in batches:
         for batch in tokens.cut(whole, 100):
-            word, context, toxic = [], [], []
             for t, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ws = _words(t)
-                for a, w, b in zip(["", *ws], ws, [*ws[1:], ""]):
-                    word.append(w)
-                    context.append(f"{a} {b}")
-                    toxic.append(y)
-            yield pa.record_batch([pa.array(word, pa.string()), pa.array(context, pa.string()), pa.array(toxic, pa.bool_())], names=names)
+                new = [w for w in set(ws) if w not in known]
+                for w in new:
+                    known[w] = xxhash.xxh64_intdigest(w.encode()) >> _CONTEXT
+                if new:
+                    yield pa.record_batch([pa.array(np.array([known[w] for w in new], np.int64)), pa.array([False] * len(new), pa.bool_()), pa.array(new, pa.string())], names=names)
+                h = np.zeros(len(ws) + 2, np.uint64)
+                h[1:-1] = [known[w] for w in ws]
+                context = tokens.mix(h[:-2] * np.uint64(0x9E3779B97F4A7C15) + h[2:]) >> np.uint64(64 - _CONTEXT)
+                held[y].append((h[1:-1] << np.uint64(_CONTEXT)) | context)
+                size += len(ws)
+            if size > 1_000_000:
+                yield from flush()
+                size = 0
+            if len(known) > 500_000:
+                known.clear()
+    yield from flush()
 
 
 def _select(rows: list) -> list[Feature]:
@@ -370,9 +397,11 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tup
     n_toxic, n_clean = int(size["t"] or 0), int((size["n"] or 0) - (size["t"] or 0))
     if not n_toxic or not n_clean:
         return [], -10.0
-    seen = train.mapInArrow(_contexts, "word string, context string, toxic boolean")
-    seen = seen.groupBy("word", F.xxhash64("context").alias("c")).agg(F.max("toxic").alias("toxic"))
-    words = seen.groupBy("word").agg(F.sum(F.col("toxic").cast("bigint")).alias("t"), F.sum((~F.col("toxic")).cast("bigint")).alias("c"))
+    seen = train.mapInArrow(_contexts, "key bigint, toxic boolean, word string")
+    pairs = seen.where("word is null").groupBy("key").agg(F.max("toxic").alias("toxic"))
+    counts = pairs.groupBy(F.shiftrightunsigned("key", _CONTEXT).alias("id")).agg(F.sum(F.col("toxic").cast("bigint")).alias("t"), F.sum((~F.col("toxic")).cast("bigint")).alias("c"))
+    texts = seen.where("word is not null").groupBy(F.col("key").alias("id")).agg(F.min("word").alias("word"))
+    words = util.saved(counts.join(texts, "id"), "words")
     marked = F.concat("word", F.lit("$"))
     starts = F.transform(F.sequence(F.lit(2), F.least(F.length("word"), F.lit(LONGEST))), lambda k: F.substring("word", F.lit(1), k))
     text = F.explode(F.array_append(F.when(F.length("word") >= 2, starts).otherwise(F.array().cast("array<string>")), marked)).alias("text")
