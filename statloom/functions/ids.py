@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import LongType, StringType
 
 _K0, _K1, _K2 = np.uint64(0xC3A5C85C97CB3127), np.uint64(0xB492B66FBE98F273), np.uint64(0x9AE16A3B2F90404F)
 ALPHABET = "0123456789bcdfghjklmnpqrstvwxyze"
@@ -129,12 +130,12 @@ def base32(fingerprint: int) -> str:
     return out or ALPHABET[0]
 
 
-@pandas_udf("bigint")
+@pandas_udf(LongType())
 def fingerprint(s: pd.Series) -> pd.Series:
     return pd.Series(farm_fingerprints([None if pd.isna(x) else x for x in s]), dtype="Int64")
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def generated_id(s: pd.Series) -> pd.Series:
     return pd.Series([None if h is None else "dc/" + base32(h) for h in farm_fingerprints([None if pd.isna(x) else x for x in s])], dtype="object")
 
@@ -167,7 +168,7 @@ def ingested_facet_text(import_name: str, method: str, period: str, scaling: str
     return F.concat_ws("^", F.coalesce(F.col(import_name), F.lit("")), bare, *rest, F.when(aggregate, "true").otherwise("false"))
 
 
-@pandas_udf("string")
+@pandas_udf(StringType())
 def unsigned_fingerprint(s: pd.Series) -> pd.Series:
     return pd.Series([None if h is None else str(h & 0xFFFFFFFFFFFFFFFF) for h in farm_fingerprints([None if pd.isna(x) else x for x in s])], dtype="object")
 
