@@ -62,6 +62,8 @@ def ngrams(text: str, table: np.ndarray) -> np.ndarray:
 
 def ranked(codes: np.ndarray, top: int = TOP) -> np.ndarray:
     """The most frequent codes, best first; ties by code."""
+    if not len(codes):
+        return codes
     codes = np.sort(codes)
     at = np.flatnonzero(np.append(True, codes[1:] != codes[:-1]))
     count = np.diff(np.append(at, len(codes)))

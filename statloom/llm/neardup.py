@@ -304,6 +304,8 @@ def _first_meeting(x: np.ndarray, y: np.ndarray, layout: list, r: int) -> np.nda
 def hamming_pairs(sigs: DataFrame, distance: int = DISTANCE, chunks: int = CHUNKS, every: bool = True) -> DataFrame:
     """All pairs a < b of rows (rep BIGINT, sig BINARY) within ``distance`` bits, each once, with their distance; with
     ``every`` false only pairs that connect what all of them connect, some perhaps more than once."""
+    if not 8 <= chunks <= 256:
+        raise ValueError("chunks must be from 8 to 256, so that a chunk's bits and its group fit one integer")
     util.make_importable(sigs.sparkSession)
     routed = sigs.select("rep", "sig").mapInArrow(_route(chunks, distance), "route bigint, rep bigint, sig binary")
 
