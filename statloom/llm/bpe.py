@@ -29,7 +29,7 @@ from . import tokens, util
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"'(?:[sdmt]|re|ve|ll)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _WHITE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_REMEMBER = 800_000  #: fragments a worker remembers; results don't depend on it
+_REMEMBER = 400_000  #: fragments a worker remembers; results don't depend on it
 _coders: dict[int, Coder] = {}
 
 
@@ -160,8 +160,10 @@ def encode(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = PATTERN
     util.make_importable(spark)
     held = spark.sparkContext.broadcast(read_vocabulary(vocabulary))
 
+    @tokens.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = coder(held.value, pattern)
+        c.memo.clear()
         for whole in batches:
             for batch in tokens.cut(whole, 500):
                 texts = batch.column(1).to_pylist()
@@ -177,6 +179,7 @@ def encode(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = PATTERN
                     names.append("round_trip")
                     cols.append(pa.array([None if g is None else c.decode(np.frombuffer(g, np.int32).tolist()) == t for g, t in zip(got, texts)], pa.bool_()))
                 yield pa.record_batch(cols, names=names)
+        c.memo.clear()
 
     slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return slim.mapInArrow(run, "doc_id bigint, n_tokens bigint, token_ids array<int>" + ", round_trip boolean" * check)

@@ -76,6 +76,7 @@ def sketch(term: np.ndarray, count: np.ndarray, starts: np.ndarray, samples: int
 
 
 def _map(samples: int):
+    @tokens.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in tokens.cut(whole):

@@ -76,6 +76,7 @@ def ranked(codes: np.ndarray, top: int = TOP) -> np.ndarray:
     return codes[at[sel[order]]]
 
 
+@tokens.tidy
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, code, n) sums of the partition, merged language by language."""
     table = _letter_table()
@@ -117,6 +118,7 @@ def profiles(docs: DataFrame, top: int = TOP) -> DataFrame:
 
 
 def _assign(langs: list[str], known: list[tuple[np.ndarray, np.ndarray]], top: int):
+    @tokens.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _letter_table()
         for whole in batches:

@@ -54,6 +54,7 @@ def keys(h: np.ndarray, doc: np.ndarray, order: int) -> list[np.ndarray]:
 
 
 def _count(order: int, shift: int):
+    @tokens.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         size = 0
@@ -185,6 +186,7 @@ def train(docs: DataFrame, order: int = ORDER) -> tuple[DataFrame, int]:
     return util.saved(_table(slim, order, bits), "ngrams"), bits
 
 
+@tokens.tidy
 def _tokens_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     n = 0
     for whole in batches:
@@ -208,6 +210,7 @@ def log_probabilities(levels: list[np.ndarray], n_total: float, n_keys: float) -
 
 
 def _score(held, shift: int, n_buckets: int, order: int, n_total: int, n_keys: int):
+    @tokens.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = Filter(held.value, shift, n_buckets)
         for whole in batches:
@@ -235,6 +238,7 @@ def _score(held, shift: int, n_buckets: int, order: int, n_total: int, n_keys: i
 def _levels(held, shift: int, n_buckets: int, order: int):
     """Of one part of the filter: the levels of the n-grams of a row that the part owns, as (row, place, level)."""
 
+    @tokens.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = Filter(held.value, shift, n_buckets)
         for whole in batches:
@@ -254,6 +258,7 @@ def _levels(held, shift: int, n_buckets: int, order: int):
 
 
 def _from_levels(order: int, n_total: int, n_keys: int):
+    @tokens.tidy
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in frames:
             total = []
@@ -275,6 +280,7 @@ def _from_levels(order: int, n_total: int, n_keys: int):
     return run
 
 
+@tokens.tidy
 def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in tokens.cut(whole):

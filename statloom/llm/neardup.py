@@ -59,6 +59,7 @@ def _whole(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode()) >> 16
 
 
+@tokens.tidy
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in tokens.cut(whole):
@@ -107,6 +108,7 @@ def _bits(sig: np.ndarray, a: int, b: int) -> np.ndarray:
 def _route(chunks: int, distance: int):
     layout = _layout(chunks, distance)
 
+    @tokens.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in tokens.cut(whole, 10_000):
@@ -309,6 +311,7 @@ def hamming_pairs(sigs: DataFrame, distance: int = DISTANCE, chunks: int = CHUNK
     util.make_importable(sigs.sparkSession)
     routed = sigs.select("rep", "sig").mapInArrow(_route(chunks, distance), "route bigint, rep bigint, sig binary")
 
+    @tokens.tidy
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in _groups(frames):
             yield from _pairs_of(x, chunks, distance, every)

@@ -55,6 +55,7 @@ def hashes(ws: list[str]) -> np.ndarray:
     return tokens.words(raw, np.array([0, len(raw)]))[0]
 
 
+@tokens.tidy
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(entity, window, term) for the words around each entity."""
     import xxhash
@@ -90,6 +91,7 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([pa.array(entity, pa.string()), pa.array(window, pa.int64()), pa.array(term, pa.string())], names=["entity", "window", "term"])
 
 
+@tokens.tidy
 def _entities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in tokens.cut(whole):
@@ -103,6 +105,7 @@ def _entities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _frequency(whole_words: np.ndarray, beginnings: dict[int, np.ndarray]):
     """Number of documents that have each word, and a word with each beginning: (length in bytes or 0, hash, n)."""
 
+    @tokens.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = {0: whole_words} | beginnings
         total = {n: np.zeros(len(k), np.int64) for n, k in known.items()}
@@ -257,6 +260,7 @@ def sanitised(docs: DataFrame, threshold: float = THRESHOLD, min_support: int =
     schema = "doc_id bigint, text string, n_entities bigint, n_terms bigint"
     for k, terms in enumerate(_passes(docs, threshold, min_support)):
 
+        @tokens.tidy
         def run(batches: Iterator[pa.RecordBatch], terms: dict[str, str] = terms, first: bool = k == 0) -> Iterator[pa.RecordBatch]:
             cleaner = Cleaner(terms)
             for whole in batches:
@@ -279,6 +283,7 @@ def sanitise(docs: DataFrame, threshold: float = THRESHOLD, min_support: int = M
     schema = out.schema
     for k, terms in enumerate(_passes(docs, threshold, min_support)):
 
+        @tokens.tidy
         def run(batches: Iterator[pa.RecordBatch], terms: dict[str, str] = terms, first: bool = k == 0) -> Iterator[pa.RecordBatch]:
             cleaner = Cleaner(terms)
             for whole in batches:

@@ -6,7 +6,9 @@ East Asian blocks (UTF-8 lead bytes E3 to ED) is a word by itself because those
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -125,3 +127,27 @@ def beginnings(raw: np.ndarray, off: np.ndarray, start: np.ndarray, doc: np.ndar
     fits = inside[s + n] == inside[s]
     s, d = s[fits], d[fits]
     return mix((h[s + n] - h[s]) * powers(len(raw), _INV)[s] ^ np.uint64(n)), d
+
+
+def release() -> None:
+    """Give memory back that this worker holds but doesn't use; workers outlive their tasks."""
+    for base in [b for b, have in _pow.items() if len(have) > BLOCK]:
+        del _pow[base]
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+def tidy(run: Callable) -> Callable:
+    """A function over batches that releases memory at the end of its partition."""
+
+    @functools.wraps(run)
+    def wrapped(batches: Iterator) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return wrapped

@@ -95,6 +95,7 @@ for _c, _k in _FOLD.items():
     _SYM[_c.encode()[1]] = ord(_k) - 96
 
 
+@tokens.tidy
 def _count_chars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """4-gram counts of words (letters only; everything else is an edge) of the partition."""
     n = CharModel.SIZE
@@ -322,6 +323,7 @@ def _words(text: str) -> list[str]:
 _CONTEXT = 24  #: bits of a context's hash; the rest of 64 are the word's
 
 
+@tokens.tidy
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Distinct (word, context) of each class as one number, and once for each word its text."""
     import xxhash
@@ -355,7 +357,7 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if size > 1_000_000:
                 yield from flush()
                 size = 0
-            if len(known) > 500_000:
+            if len(known) > 200_000:
                 known.clear()
     yield from flush()
 
@@ -370,6 +372,7 @@ def _select(rows: list) -> list[Feature]:
 
 
 def _usual(features: list[Feature]):
+    @tokens.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(features, 0.0, None)
         for batch in batches:
@@ -418,6 +421,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tup
 
 
 def _score(features: list[Feature], bias: float, logp: np.ndarray, threshold: float):
+    @tokens.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(features, bias, _model(logp))
         for whole in batches:
@@ -449,6 +453,7 @@ def reject(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, thr
     logp = char_model(docs).logp.astype(np.float32)
     at = docs.columns.index("text")
 
+    @tokens.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner(features, bias, _model(logp))
         for whole in batches:
