@@ -141,12 +141,18 @@ def release() -> None:
 
 
 def tidy(run: Callable) -> Callable:
-    """A function over batches that releases memory at the end of its partition."""
+    """A function over batches that releases memory after every batch."""
 
     @functools.wraps(run)
     def wrapped(batches: Iterator) -> Iterator:
+        def fed() -> Iterator:
+            for batch in batches:
+                yield batch
+                del batch
+                release()
+
         try:
-            yield from run(batches)
+            yield from run(fed())
         finally:
             release()
 

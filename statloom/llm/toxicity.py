@@ -354,10 +354,10 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 context = tokens.mix(h[:-2] * np.uint64(0x9E3779B97F4A7C15) + h[2:]) >> np.uint64(64 - _CONTEXT)
                 held[y].append((h[1:-1] << np.uint64(_CONTEXT)) | context)
                 size += len(ws)
-            if size > 1_000_000:
+            if size > 300_000:
                 yield from flush()
                 size = 0
-            if len(known) > 200_000:
+            if len(known) > 100_000:
                 known.clear()
     yield from flush()
 

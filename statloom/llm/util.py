@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def make_importable(spark: SparkSession) -> None:
-    """Let Python workers import this package from where the driver found it."""
+    """Let Python workers import this package from where the driver found it, and get texts in small batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
