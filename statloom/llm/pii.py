@@ -2,16 +2,21 @@
 
 Protected entities are written identifiers: e-mail, network addresses, phone, card, bank and social-security numbers,
 keys and secrets. They are replaced by their kind. Beyond that a term may reveal an entity by keeping its company: with
-N documents, n(e) and n(t) of which have the entity and the term, and n(t, e) unlike surroundings of the entity in
-which the term stands (``WINDOW`` words to each side; copies count once), the term discloses
-log2(n(t, e) N / (n(t) n(e))) of the -log2(n(e) / N) bits of the entity. A term that discloses at least ``THRESHOLD`` of
-them is generalised to its first half and ``*`` where that, counted over all words with the beginning, stays below the
-threshold, and removed (``***``) otherwise, in all documents.
+N texts, n(e), n(t) and n(t, e) of which have the entity, the term, and both, the term discloses
+log2(n(t, e) N / (n(t) n(e))) of the -log2(n(e) / N) bits of the entity. All four count texts.
+A term that discloses at least ``THRESHOLD`` of them is generalised to its first half and ``*`` where that, counted over
+all words with the beginning, stays below the threshold, and removed (``***``) otherwise, in all documents. Entities
+are judged by themselves and, in ``sanitise`` and ``sanitised``, by what they share with others (``units``): domain and
+owner of an address, network, area or issuer of a number.
+
+Support: ``MIN_SUPPORT`` texts with both, or as many unlike surroundings (``WINDOW`` words to each side) of the entity
+that have the term; of an entity in two texts, both; of an entity in a single text, where company in the text proves
+nothing, a term that stands in its surroundings and in no other text.
 
 Defined results: a null text stays null with null counts, an empty one stays empty; repeated rows give repeated rows;
-a null doc_id is no hindrance; entities with fewer than ``MIN_SUPPORT`` surroundings have no revealing terms; where
-entities overlap the first in text order is taken, then the kind named first; other columns are ignored by
-``sanitised`` and pass through ``sanitise``; an empty table gives an empty result. Texts are read whole.
+a null doc_id is no hindrance; an entity in every text reveals nothing; where entities overlap the first in text order
+is taken, then the kind named first; other columns are ignored by ``sanitised`` and pass through ``sanitise``; an empty
+table gives an empty result. Texts are read whole.
 """
 
 from __future__ import annotations
@@ -42,6 +47,7 @@ KINDS = {
 _FIND = re.compile("|".join(f"(?P<{k}>{p})" for k, p in KINDS.items()))
 _WORD = re.compile("[\\u3000-\\ud7ff]|[0-9A-Za-z\\x80-\\u2fff\\ue000-\\U0010ffff]+")
 _TAG_OR_WORD = re.compile("\\[(?:" + "|".join(KINDS) + ")\\]|" + _WORD.pattern)
+_BYTES = re.compile(rb"[\xe3-\xed][\x80-\xbf]{2}|[0-9A-Za-z\x80-\xe2\xee-\xff]+")  #: a word of ``tokens.words``
 _HINT = "[0-9@]"
 
 
@@ -55,74 +61,163 @@ def hashes(ws: list[str]) -> np.ndarray:
     return tokens.words(raw, np.array([0, len(raw)]))[0]
 
 
-@tokens.tidy
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(entity, window, term) for the words around each entity."""
-    import xxhash
+def units(kind: str, value: str) -> list[str]:
+    """What a written value is judged by: itself, and what it shares with others. The kind isn't among these: the tag
+    that replaces the value tells it anyway."""
+    key = entity_key(kind, value)
+    what = key.partition(":")[2]
+    if kind == "EMAIL":
+        local, _, domain = what.rpartition("@")
+        owner = re.sub(r"[^a-z]", "", local.partition("+")[0])
+        return [key, f"EMAIL-DOMAIN:{domain}"] + [f"EMAIL-OWNER:{owner}"] * (len(owner) > 2)
+    shared = {"IP": ("NET", what.rpartition(".")[0]), "CARD": ("ISSUER", what[:6]), "SSN": ("AREA", what[:3]), "PHONE": ("PREFIX", what[:-4]), "IBAN": ("BANK", what.replace(" ", "")[:8])}.get(kind)
+    return [key, f"{kind}-{shared[0]}:{shared[1]}"] if shared else [key]
+
+
+def _short(h: np.ndarray) -> np.ndarray:
+    """Hashes as the 48-bit terms of ``tokens.terms``."""
+    return (h >> np.uint64(16)).view(np.int64)
+
+
+_MARKED = "bare string, units array<string>, near_unit array<string>, near_term array<bigint>, near_n array<bigint>"
+
 
+@tokens.tidy
+def _marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each text with entities: the lower-case text without them, their units, and the terms within ``WINDOW`` words
+    of each with the number of unlike surroundings that have them."""
     for whole in batches:
         for batch in tokens.cut(whole):
-            entity, window, term = [], [], []
-            text = batch.column(0)
-            for t in text.filter(pc.match_substring_regex(text, _HINT)).to_pylist():
+            bare, unit, values = [], [], []
+            for t in batch.column(0).to_pylist():
                 found = list(_FIND.finditer(t))
-                if not found:
-                    continue
-                # words outside of entities, with their places
-                ws, at, pos = [], [], 0
-                for m in [*found, None]:
-                    for w in _WORD.finditer(t, pos, m.start() if m else len(t)):
-                        ws.append(w.group().lower())
-                        at.append(w.start())
-                    pos = m.end() if m else 0
-                place = np.searchsorted(at, [m.start() for m in found])
-                seen = set()
-                for m, p in zip(found, place.tolist()):
-                    key = entity_key(m.lastgroup, m.group())
-                    around = ws[max(0, p - WINDOW) : p + WINDOW]
-                    h = xxhash.xxh64_intdigest(" ".join(around)) >> 1
-                    if (key, h) in seen:
-                        continue
-                    seen.add((key, h))
-                    for w in sorted(set(around)) or [""]:
-                        entity.append(key)
-                        window.append(h)
-                        term.append(w)
-            yield pa.record_batch([pa.array(entity, pa.string()), pa.array(window, pa.int64()), pa.array(term, pa.string())], names=["entity", "window", "term"])
+                if found:
+                    ends = [(0, 0), *(m.span() for m in found), (len(t), len(t))]
+                    bare.append("\x01".join(t[i:j].replace("\x01", " ") for (_, i), (j, _) in zip(ends, ends[1:])))
+                    values.append([entity_key(m.lastgroup, m.group()) for m in found])
+                    unit.append(sorted({u for m in found for u in units(m.lastgroup, m.group())}))
+            low = pc.utf8_lower(pa.array(bare, pa.string()))
+            near: list[dict[tuple[str, str], int]] = []
+            for t, keys in zip(low.to_pylist(), values):
+                ws: list[str] = []
+                place = []
+                for part in t.split("\x01"):
+                    ws += _WORD.findall(part)
+                    place.append(len(ws))
+                seen: set[tuple] = set()
+                count: dict[tuple[str, str], int] = {}
+                for key, p in zip(keys, place):
+                    around = tuple(ws[max(0, p - WINDOW) : p + WINDOW])
+                    if (key, around) not in seen:
+                        seen.add((key, around))
+                        for w in set(around):
+                            count[key, w] = count.get((key, w), 0) + 1
+                near.append(count)
+            every = sorted({w for c in near for _, w in c})
+            of = dict(zip(every, _short(hashes(every)).tolist())) if every else {}
+            lists = [unit, [[e for e, _ in c] for c in near], [[of[w] for _, w in c] for c in near], [list(c.values()) for c in near]]
+            kinds = [pa.string(), pa.string(), pa.int64(), pa.int64()]
+            yield pa.record_batch([low, *(pa.array(x, pa.list_(k)) for x, k in zip(lists, kinds))], names=["bare", "units", "near_unit", "near_term", "near_n"])
+
+
+def _pairs(recurrent: np.ndarray):
+    """(unit, term) once for each text that has both, for units among ``recurrent``."""
+
+    @tokens.tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in tokens.cut(whole, 200):
+                ids = batch.column(1).to_pylist()
+                for i, j, raw, off in tokens.blocks(batch.column(0)):
+                    h, _, doc = tokens.words(raw, off)
+                    term, _, start = tokens.terms(h, doc, j - i)
+                    a, b = [], []
+                    for d in range(j - i):
+                        u = np.array(ids[i + d], np.int64)
+                        u = u[np.isin(u, recurrent)]
+                        t = term[start[d] : start[d + 1]].view(np.int64)
+                        a.append(np.repeat(u, len(t)))
+                        b.append(np.tile(t, len(u)))
+                    yield pa.record_batch([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["id", "term"])
+
+    return run
 
 
 @tokens.tidy
-def _entities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _document_frequency(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(term, number of texts that have it), summed over a part of the partition."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    size = 0
+
+    def flush() -> pa.RecordBatch:
+        t = np.concatenate([x for x, _ in held] or [np.zeros(0, np.uint64)])
+        n = np.concatenate([x for _, x in held] or [np.zeros(0, np.int64)])
+        held.clear()
+        one, at = np.unique(t, return_inverse=True)
+        return pa.record_batch([pa.array(one.view(np.int64)), pa.array(np.bincount(at, n, len(one)).astype(np.int64))], names=["term", "n"])
+
     for whole in batches:
         for batch in tokens.cut(whole):
-            text = batch.column(0)
-            keys: list[str] = []
-            for t in text.filter(pc.match_substring_regex(text, _HINT)).to_pylist():
-                keys += {entity_key(m.lastgroup, m.group()) for m in _FIND.finditer(t)}
-            yield pa.record_batch([pa.array(keys, pa.string())], names=["entity"])
+            for i, j, raw, off in tokens.blocks(tokens.lowered(batch.column(0))):
+                h, _, doc = tokens.words(raw, off)
+                held.append(np.unique(tokens.terms(h, doc, j - i)[0], return_counts=True))
+                size += len(held[-1][0])
+            if size > 500_000:
+                yield flush()
+                size = 0
+    yield flush()
+
+
+def _spelled(known: np.ndarray):
+    """(term, word) of the words whose term is among the sorted ``known``."""
+
+    @tokens.tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in tokens.cut(whole):
+                for _, _, raw, off in tokens.blocks(batch.column(0)):
+                    h, start, doc = tokens.words(raw, off)
+                    t, first = np.unique(_short(h), return_index=True)
+                    hit = np.isin(t, known)
+                    data, ends = raw.tobytes(), off[doc + 1]
+                    word = [_BYTES.match(data, start[k], ends[k]).group().decode("utf-8", "ignore") for k in first[hit].tolist()]
+                    yield pa.record_batch([pa.array(t[hit]), pa.array(word, pa.string())], names=["term", "word"])
+
+    return run
 
 
-def _frequency(whole_words: np.ndarray, beginnings: dict[int, np.ndarray]):
-    """Number of documents that have each word, and a word with each beginning: (length in bytes or 0, hash, n)."""
+def _frequency(halves: dict[int, np.ndarray]):
+    """Number of texts that have a word with each beginning: (length in bytes, hash, n)."""
 
     @tokens.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = {0: whole_words} | beginnings
-        total = {n: np.zeros(len(k), np.int64) for n, k in known.items()}
+        total = {n: np.zeros(len(k), np.int64) for n, k in halves.items()}
         for whole in batches:
             for batch in tokens.cut(whole):
                 for i, j, raw, off in tokens.blocks(tokens.lowered(batch.column(0))):
                     h, start, doc = tokens.words(raw, off)
-                    for n, k in known.items():
-                        if n:
-                            g, d = tokens.beginnings(raw, off, start, doc, n)
-                        else:
-                            g, d = h, doc
+                    if not len(h):
+                        continue
+                    # each word of the block is looked up once; its place among these stands for the document
+                    _, first, word = np.unique(h, return_index=True, return_inverse=True)
+                    sums = np.zeros(len(raw) + 1, np.uint64)
+                    np.cumsum(tokens._RND[raw] * tokens.powers(len(raw)), out=sums[1:])
+                    inside = np.concatenate([[0], np.cumsum(~tokens._WORD[raw])])
+                    s, end = start[first], off[doc[first] + 1]
+                    for n, k in halves.items():
+                        long = np.flatnonzero(s + n <= end)
+                        long = long[inside[s[long] + n] == inside[s[long]]]
+                        b = s[long]
+                        g = tokens.mix((sums[b + n] - sums[b]) * tokens.powers(len(raw), tokens._INV)[b] ^ np.uint64(n))
                         at = np.minimum(np.searchsorted(k, g), len(k) - 1)
                         hit = k[at] == g
-                        one = np.unique(d[hit].astype(np.int64) * len(k) + at[hit])
+                        which = np.full(len(first), -1)
+                        which[long[hit]] = at[hit]
+                        which = which[word]
+                        has = which >= 0
+                        one = np.unique(doc[has] * len(k) + which[has])
                         total[n] += np.bincount(one % len(k), minlength=len(k))
-        for n, k in known.items():
+        for n, k in halves.items():
             at = np.flatnonzero(total[n])
             yield pa.record_batch([pa.array(np.full(len(at), n)), pa.array(k[at].view(np.int64)), pa.array(total[n][at])], names=["length", "hash", "n"])
 
@@ -133,57 +228,67 @@ def _half(word: str) -> str:
     return word[: (len(word) + 1) // 2]
 
 
-def _prepared(words: list[str]) -> dict[str, tuple[int, int, int]]:
-    """word -> (its hash, bytes of its first half, hash of that)."""
+def _prepared(words: list[str]) -> dict[str, tuple[int, int]]:
+    """word -> (bytes of its first half, hash of that)."""
     out = {}
-    h = hashes(words)
-    for w, x in zip(words, h.tolist()):
+    for w in words:
         half = _half(w).encode()
-        out[w] = (x, len(half), int(tokens.beginnings(np.frombuffer(half, np.uint8), np.array([0, len(half)]), np.zeros(1, np.int64), np.zeros(1, np.int64), len(half))[0][0]))
+        out[w] = (len(half), int(tokens.beginnings(np.frombuffer(half, np.uint8), np.array([0, len(half)]), np.zeros(1, np.int64), np.zeros(1, np.int64), len(half))[0][0]))
     return out
 
 
-def disclosures(docs: DataFrame, threshold: float = THRESHOLD, min_support: int = MIN_SUPPORT) -> DataFrame:
-    """term, entity, ratio, general_ratio of every pair that has at least ``min_support`` unlike surroundings and
-    discloses at least ``threshold``."""
+def _disclosing(text: DataFrame, n_docs: int, threshold: float, min_support: int, shared: bool) -> tuple[DataFrame, DataFrame]:
+    """(entity, n_e, term, n_te, ratio) of what discloses enough, the term as a hash; the marked texts."""
+    spark = text.sparkSession
+    marked = util.saved(text.where(F.col("text").rlike(_HINT)).mapInArrow(_marked, _MARKED), "marked")
+    n_e = marked.select(F.explode("units").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_e"))
+    if not shared:
+        n_e = n_e.where(~F.col("entity").rlike("^[A-Z]+-"))
+    n_e = util.saved(n_e.where(F.col("n_e") < n_docs).select(F.xxhash64("entity").alias("id"), "entity", "n_e"), "units")
+    recurrent = np.sort(n_e.where("n_e > 1").select("id").toArrow()["id"].to_numpy())
+    near = marked.select(F.explode(F.arrays_zip("near_unit", "near_term", "near_n")).alias("x")).groupBy(F.xxhash64("x.near_unit").alias("id"), F.col("x.near_term").alias("term")).agg(F.sum("x.near_n").alias("windows"))
+    near = util.saved(near.join(n_e.where("n_e = 1").select("id", F.lit(True).alias("single")), "id", "left").where(F.col("single") | (F.col("windows") >= min_support)), "near")
+    ids = F.transform("units", lambda u: F.xxhash64(u)).alias("ids")
+    pairs = marked.select("bare", ids).mapInArrow(_pairs(recurrent), "id bigint, term bigint").groupBy("id", "term").agg(F.count("*").alias("n_te"))
+    pairs = pairs.join(n_e, "id").join(near.where("single is null").select("id", "term", "windows"), ["id", "term"], "left")
+    pairs = pairs.where((F.col("n_te") >= F.least(F.lit(min_support), "n_e")) | F.col("windows").isNotNull()).select("entity", "term", "n_e", "n_te", F.lit(False).alias("only"))
+    one = near.where("single").join(n_e, "id").select("entity", "term", "n_e", F.lit(1).cast("bigint").alias("n_te"), (F.col("windows") < min_support).alias("only"))
+    n_t = text.mapInArrow(_document_frequency, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n_t"))
+    both = util.saved(pairs.unionByName(one), "pairs").join(n_t, "term")
+    ratio = F.round(F.log2(F.col("n_te") * F.lit(float(n_docs)) / (F.col("n_t") * F.col("n_e"))) / -F.log2(F.col("n_e") / F.lit(float(n_docs))), 9)
+    return util.saved(both.withColumn("ratio", ratio).where((F.col("ratio") >= threshold) & (~F.col("only") | (F.col("n_t") == 1))).drop("only", "n_t"), "disclosing"), marked
+
+
+def disclosures(docs: DataFrame, threshold: float = THRESHOLD, min_support: int = MIN_SUPPORT, shared: bool = False) -> DataFrame:
+    """term, entity, ratio, general_ratio of every pair that has support and discloses at least ``threshold``; with
+    ``shared`` also for what entities share (``units``)."""
     spark = docs.sparkSession
     util.make_importable(spark)
     text = docs.select(F.col("text").cast("string").alias("text")).where("text is not null")
     n_docs = text.count()
-    hinted = text.where(F.col("text").rlike(_HINT))
-    windows = hinted.mapInArrow(_windows, "entity string, window bigint, term string")
-    both = windows.where("term <> ''").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_te")).where(F.col("n_te") >= min_support)
-    both = util.saved(both, "pairs")
-    n_e = hinted.mapInArrow(_entities, "entity string").groupBy("entity").agg(F.count("*").alias("n_e"))
-    both = util.saved(both.join(n_e, "entity"), "pairs")
-    # pairs that could reach the threshold if the term occurred nowhere else
-    bits = -F.log2(F.col("n_e") / F.lit(float(max(n_docs, 1))))
-    best = F.log2(F.lit(float(n_docs)) / F.col("n_e"))
-    both = both.where((bits > 0) & (best >= threshold * bits))
-    words = util.saved(both.select("term").distinct().select("term", F.pmod(F.xxhash64("term"), F.lit(1 << 20)).alias("part")), "terms")
-    n_words = words.count()
-    passes = max(1, -(-n_words // PASS_TERMS))
+    both, marked = _disclosing(text, n_docs, threshold, min_support, shared)
+    some = util.saved(both.select("term").distinct().withColumn("part", F.pmod(F.xxhash64("term"), F.lit(1 << 20))), "terms")
+    n_terms = some.count()
+    passes = max(1, -(-n_terms // PASS_TERMS))
     frequency = None
-    for k in range(passes if n_words else 0):
-        some = _prepared([r["term"] for r in words.where(F.col("part") % passes == k).select("term").collect()])
-        if not some:
+    for k in range(passes if n_terms else 0):
+        known = np.sort(some.where(F.col("part") % passes == k).select("term").toArrow()["term"].to_numpy())
+        if not len(known):
             continue
-        whole = np.unique(np.array([x[0] for x in some.values()], np.uint64))
+        of = {r["word"]: r["term"] for r in marked.select("bare").mapInArrow(_spelled(known), "term bigint, word string").groupBy("term").agg(F.min("word").alias("word")).collect()}
+        halves = _prepared(sorted(of))
         by: dict[int, list[int]] = {}
-        for _, n, g in some.values():
+        for n, g in halves.values():
             by.setdefault(n, []).append(g)
-        counted = text.mapInArrow(_frequency(whole, {n: np.unique(np.array(v, np.uint64)) for n, v in by.items()}), "length bigint, hash bigint, n bigint").groupBy("length", "hash").agg(F.sum("n").alias("n"))
+        counted = util.saved(text.mapInArrow(_frequency({n: np.unique(np.array(v, np.uint64)) for n, v in by.items()}), "length bigint, hash bigint, n bigint").groupBy("length", "hash").agg(F.sum("n").alias("n_g")), "frequencies")
         signed = lambda x: x - (1 << 64) if x >> 63 else x
-        keys = spark.createDataFrame([(w, signed(a), n, signed(g)) for w, (a, n, g) in some.items()], "term string, whole bigint, half_length bigint, half bigint")
-        counted = util.saved(counted, "frequencies")
-        a = counted.where("length = 0").select(F.col("hash").alias("whole"), F.col("n").alias("n_t"))
-        b = counted.where("length > 0").select(F.col("length").alias("half_length"), F.col("hash").alias("half"), F.col("n").alias("n_g"))
-        one = util.saved(keys.join(a, "whole").join(b, ["half_length", "half"]).select("term", "n_t", "n_g"), "frequencies")
+        keys = spark.createDataFrame([(of[w], w, n, signed(g)) for w, (n, g) in halves.items()], "term bigint, word string, length bigint, hash bigint")
+        one = util.saved(keys.join(counted, ["length", "hash"]).select("term", "word", "n_g"), "frequencies")
         frequency = one if frequency is None else frequency.unionByName(one)
     if frequency is None:
-        return both.select("term", "entity", F.lit(0.0).alias("ratio"), F.lit(0.0).alias("general_ratio")).where("false")
-    ratio = lambda n: F.log2(F.col("n_te") * F.lit(float(n_docs)) / (F.col(n) * F.col("n_e"))) / bits
-    return both.join(frequency, "term").select("term", "entity", F.round(ratio("n_t"), 9).alias("ratio"), F.round(ratio("n_g"), 9).alias("general_ratio")).where(F.col("ratio") >= threshold)
+        return both.select(F.col("term").cast("string").alias("term"), "entity", F.lit(0.0).alias("ratio"), F.lit(0.0).alias("general_ratio")).where("false")
+    general = F.log2(F.col("n_te") * F.lit(float(n_docs)) / (F.col("n_g") * F.col("n_e"))) / -F.log2(F.col("n_e") / F.lit(float(n_docs)))
+    return both.join(frequency, "term").select(F.col("word").alias("term"), "entity", "ratio", F.round(general, 9).alias("general_ratio"))
 
 
 def replacements(found: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -247,7 +352,7 @@ class Cleaner:
 
 
 def _passes(docs: DataFrame, threshold: float, min_support: int) -> list[dict[str, str]]:
-    found = util.saved(replacements(disclosures(docs, threshold, min_support), threshold), "replacements")
+    found = util.saved(replacements(disclosures(docs, threshold, min_support, shared=True), threshold), "replacements")
     n = found.count()
     passes = max(1, -(-n // PASS_TERMS))
     part = F.pmod(F.xxhash64("term"), F.lit(1 << 20)) % passes

@@ -1,0 +1,32 @@
+"""Terms that reveal entities: copies, whole documents, entities of few documents, shared parts."""
+
+import random
+
+from statloom.llm import pii
+
+WORDS = "river stone market window garden letter summer winter bridge silver copper ladder engine harbor candle meadow orchard".split()
+
+
+def prose(n, size, seed):
+    rng = random.Random(seed)
+    return [" ".join(rng.choices(WORDS, k=size)) for _ in range(n)]
+
+
+def frame(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+
+
+def test_terms_far_from_their_entity_are_revealing(spark):
+    far = [f"dear zanzibarian {t} anna.k@example.org" for t in prose(4, 60, 4)]
+    got = pii.sanitised(frame(spark, prose(300, 30, 5) + far)).collect()
+    assert all(" ".join(r["text"].split()[:2]) == "dear ***" or r["text"].split()[0] == "***" for r in got if "[EMAIL]" in r["text"])
+    assert not any("zanzibarian" in r["text"] for r in got)
+    assert all(r["n_terms"] == 0 for r in got if "[EMAIL]" not in r["text"])
+
+
+def test_entities_of_one_or_two_texts_and_their_shared_parts(spark):
+    once = ["river stone market quaestor call 4111 1111 1111 1111 window garden letter", *(f"{t} vestibule {u} 10.20.30.40" for t, u in zip(prose(2, 30, 6), prose(2, 30, 7)))]
+    company = [f"acmeworks {t} {name}.{i}@acme.example" for i, (t, name) in enumerate(zip(prose(4, 40, 8), ("bo", "cy", "di", "ed")))]
+    got = {r["term"]: r["entity"] for r in pii.disclosures(frame(spark, prose(400, 30, 9) + once + company), shared=True).collect()}
+    assert got["quaestor"].startswith("CARD:") and got["vestibule"].startswith("IP") and got["acmeworks"] == "EMAIL-DOMAIN:acme.example"
+    assert not set(got) & set(WORDS)
