@@ -2,8 +2,8 @@
 
 Protected entities are written identifiers: e-mail, network addresses, phone, card, bank and social-security numbers,
 keys and secrets. They are replaced by their kind. Beyond that a term may reveal an entity by keeping its company: with
-N texts, n(e), n(t) and n(t, e) of which have the entity, the term, and both, the term discloses
-log2(n(t, e) N / (n(t) n(e))) of the -log2(n(e) / N) bits of the entity. All four count texts.
+N distinct texts, n(e), n(t) and n(t, e) of which have the entity, the term, and both, the term discloses
+log2(n(t, e) N / (n(t) n(e))) of the -log2(n(e) / N) bits of the entity. All four count texts, so that copies cancel.
 A term that discloses at least ``THRESHOLD`` of them is generalised to its first half and ``*`` where that, counted over
 all words with the beginning, stays below the threshold, and removed (``***``) otherwise, in all documents. Entities
 are judged by themselves and, in ``sanitise`` and ``sanitised``, by what they share with others (``units``): domain and
@@ -34,6 +34,7 @@ from . import tokens, util
 WINDOW = 10
 THRESHOLD = 0.8
 MIN_SUPPORT = 3
+COPIED = 2_000_000  #: hashes of texts with copies that are broadcast; beyond that the texts are shuffled
 PASS_TERMS = 200_000  #: terms that a worker holds at once; more of them take more passes
 KINDS = {
     "EMAIL": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
@@ -74,6 +75,15 @@ def units(kind: str, value: str) -> list[str]:
     return [key, f"{kind}-{shared[0]}:{shared[1]}"] if shared else [key]
 
 
+def distinct_texts(docs: DataFrame) -> DataFrame:
+    """Every text that isn't null once; only texts that have copies are shuffled while these are few enough to broadcast."""
+    text = docs.select(F.col("text").cast("string").alias("text")).where("text is not null").withColumn("h", F.xxhash64("text"))
+    copied = util.saved(text.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "copied")
+    copied = F.broadcast(copied) if copied.count() <= COPIED else copied
+    several = util.saved(text.join(copied, "h", "left_semi").select("text").distinct(), "copies")
+    return text.join(copied, "h", "left_anti").select("text").unionByName(several)
+
+
 def _short(h: np.ndarray) -> np.ndarray:
     """Hashes as the 48-bit terms of ``tokens.terms``."""
     return (h >> np.uint64(16)).view(np.int64)
@@ -264,7 +274,7 @@ def disclosures(docs: DataFrame, threshold: float = THRESHOLD, min_support: int
     ``shared`` also for what entities share (``units``)."""
     spark = docs.sparkSession
     util.make_importable(spark)
-    text = docs.select(F.col("text").cast("string").alias("text")).where("text is not null")
+    text = distinct_texts(docs)
     n_docs = text.count()
     both, marked = _disclosing(text, n_docs, threshold, min_support, shared)
     some = util.saved(both.select("term").distinct().withColumn("part", F.pmod(F.xxhash64("term"), F.lit(1 << 20))), "terms")

@@ -16,6 +16,14 @@ def frame(spark, texts):
     return spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
 
 
+def test_copies_do_not_hide_revealing_terms(spark):
+    fill = prose(400, 30, 1)
+    beside = [f"{t} quaestor anna.k@example.org {u}" for t, u in zip(prose(5, 20, 2), prose(5, 20, 3))]
+    plain = {(r["term"], r["ratio"], r["general_ratio"]) for r in pii.disclosures(frame(spark, fill + beside)).collect()}
+    copied = {(r["term"], r["ratio"], r["general_ratio"]) for r in pii.disclosures(frame(spark, fill + beside * 10)).collect()}
+    assert plain == copied and ("quaestor", 1.0, 1.0) in plain
+
+
 def test_terms_far_from_their_entity_are_revealing(spark):
     far = [f"dear zanzibarian {t} anna.k@example.org" for t in prose(4, 60, 4)]
     got = pii.sanitised(frame(spark, prose(300, 30, 5) + far)).collect()
