@@ -7,7 +7,9 @@ labelled documents.
 
 Only readings that end in a weighted word can change a score, so spans that can't be read as one are never decoded.
 That test is exact and vectorised: look-alikes share a class, separators vanish, runs collapse, and what is left of a
-span must equal what is left of some weighted word.
+span must equal what is left of some weighted word.  Features of which fewer than
+``SHORTEST`` classes are left (``kill``, other scripts) are whole words only and are found as they are written, accents
+folded, without the channel.
 
 Fit: at most ``TRAIN_ROWS`` labelled documents (by hashed doc_id). Features are beginnings of words and whole words
 (marked by ``$``). A feature's evidence is its number of distinct contexts (word before, word, word after) in toxic and
@@ -38,6 +40,7 @@ MIN_LOG_ODDS = 2.0
 MIN_EVIDENCE = 15.0
 THRESHOLD = 0.95
 LONGEST = 10  #: letters of the longest beginning
+SHORTEST = 4  #: classes that a feature needs for the channel
 
 #: What each written symbol may stand for, besides itself.
 LOOKS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "<": "c"}
@@ -54,10 +57,32 @@ for _c, _k in _FOLD.items():
     _BYTE[_c.encode()[1]] = ord(_CLASS[_k])  # all have the lead byte C3, which vanishes
 _FIRM = np.zeros(256, bool)
 _FIRM[[*range(48, 58), *range(97, 123), *range(0x80, 0xC0)]] = True
+_ALNUM = np.zeros(256, bool)
+_ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
 _SPACE = np.zeros(256, bool)
 _SPACE[list(_BLANK)] = True
 
 
+def _letters(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which bytes belong to letters or digits, as in ``_words``, and which end a character with the lead byte C3."""
+    word = _ALNUM[raw]
+    lead = np.flatnonzero(raw >= 0xC0)
+    latin = np.zeros(len(raw), bool)
+    if len(lead):
+        latin[np.minimum(lead[raw[lead] == 0xC3] + 1, len(raw) - 1)] = True
+        size = 2 + (raw[lead] >= 0xE0) + (raw[lead] >= 0xF0).astype(np.int64)
+        code = raw[lead].astype(np.int64) & (0x7F >> size)
+        for k in range(1, 4):
+            more = size > k
+            code[more] = code[more] << 6 | raw[np.minimum(lead[more] + k, len(raw) - 1)] & 0x3F
+        one, at = np.unique(code, return_inverse=True)
+        alnum = np.array([c < 0x110000 and chr(c).isalnum() for c in one.tolist()])[at]
+        for k in range(4):
+            x = lead[alnum & (size > k)] + k
+            word[x[x < len(raw)]] = True
+    return word, latin
+
+
 def skeleton(word: str) -> str:
     """What is left of a word: classes of look-alikes, without separators, runs collapsed."""
     out: list[str] = []
@@ -194,11 +219,17 @@ def decode(span: str, model: CharModel) -> str:
     return min(done, key=lambda x: (-x[0], x[1]))[1].strip() if done else ""
 
 
+def channelled(text: str) -> bool:
+    """Whether a feature leaves enough for the gate; shorter ones and other scripts would match everywhere or nowhere."""
+    return len(skeleton(text.rstrip("$"))) >= SHORTEST
+
+
 class Feature:
     """A beginning, or with ``$`` a whole word; rate in other documents, share of toxic documents and usual number there."""
 
     def __init__(self, text: str, rate: float, share: float = 0.0, usual: float = 1.0) -> None:
         self.text, self.rate, self.share, self.usual = text, rate, share, usual
+        self.exact = text.endswith("$") and not channelled(text)  #: found as it is written only
 
     def log_ratio(self, k: int, n_words: int) -> float:
         clean = max(n_words, 1) * self.rate
@@ -216,9 +247,11 @@ class Scanner:
         by: dict[tuple[int, bool], set[int]] = {}
         for f in features:
             s = skeleton(f.text.rstrip("$"))
-            if len(s) >= 2:
+            if len(s) >= 2 and not f.exact:
                 by.setdefault((len(s), f.text.endswith("$")), set()).add(self._hash(s))
         self.by = {n: np.array(sorted(v), np.uint64) for n, v in by.items()}
+        self.channelled = [not f.exact for f in features]
+        self.exact = np.array(sorted({self._hash(f.text[:-1]) for f in features if f.exact}), np.uint64)
 
     def matching(self, word: str) -> list[int]:
         return [i for i, f in enumerate(self.features) if (word + "$").startswith(f.text)]
@@ -275,13 +308,38 @@ class Scanner:
             for x in s[known[i] == got]:
                 yield int(doc[x]), int(at[x]), int(last[x + n - 1] if closed else token_end[x + n - 1]) + 1
 
+    def plain(self, raw: np.ndarray, off: np.ndarray) -> Iterator[tuple[int, str]]:
+        """(document, word) of words that are written like an exact feature, accents folded."""
+        if not len(raw) or not len(self.exact):
+            return
+        word, latin = _letters(raw)
+        folded = latin & (_SYM[raw] != 27)
+        keep = np.append(~folded[1:], True)  # the lead byte of a folded letter goes
+        byte = np.where(folded, _SYM[raw] + 96, raw)
+        edge = np.zeros(len(raw) + 1, bool)
+        edge[1:-1] = word[1:] != word[:-1]
+        edge[off] = True
+        cut = np.flatnonzero(edge)
+        inside = word[np.minimum(cut[:-1], len(raw) - 1)]
+        s, e = cut[:-1][inside], cut[1:][inside]
+        place = np.concatenate([[0], np.cumsum(keep)])
+        byte = byte[keep]
+        h = np.zeros(len(byte) + 1, np.uint64)
+        np.cumsum(tokens._RND[byte] * tokens.powers(len(byte)), out=h[1:])
+        got = (h[place[e]] - h[place[s]]) * tokens.powers(len(byte), tokens._INV)[place[s]]
+        hit = self.exact[np.minimum(np.searchsorted(self.exact, got), len(self.exact) - 1)] == got
+        for a, b, d in zip(s[hit].tolist(), e[hit].tolist(), (np.searchsorted(off, s[hit], "right") - 1).tolist()):
+            for w in _words(raw[a:b].tobytes().decode("utf-8", "ignore")):
+                if any(not self.channelled[f] for f in self.matching(w)):
+                    yield d, w
+
     def read(self, span: str) -> tuple[str, ...]:
         """Words with a feature of the likeliest reading."""
         got = self.memo.get(span)
         if got is None:
             if len(self.memo) > 50_000:
                 self.memo.clear()
-            got = self.memo[span] = tuple(sorted({w for w in decode(span, self.model).split() if self.matching(w)}))
+            got = self.memo[span] = tuple(sorted({w for w in decode(span, self.model).split() if any(self.channelled[f] for f in self.matching(w))}))
         return got
 
     def documents(self, text: pa.Array) -> tuple[list[float | None], list[list[str] | None]]:
@@ -300,6 +358,8 @@ class Scanner:
                 # a lead byte before, so that the first letter is whole
                 a -= a > off[d] and raw[a - 1] == 0xC3
                 hits[d].update(self.read(bytes(raw[a:b]).decode("utf-8", "ignore")))
+            for d, w in self.plain(raw, off):
+                hits[d].add(w)
             for k, ws in zip(range(i, j), hits):
                 count: dict[int, int] = {}
                 for w in ws:
@@ -365,6 +425,7 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _select(rows: list) -> list[Feature]:
     """Greedy choice among (text, toxic contexts, rate, log odds); ties to the longer, then the first by name."""
     chosen: list[Feature] = []
+    rows = [r for r in rows if channelled(r["text"]) or r["text"].endswith("$")]  # first, so that none blocks others and is lost
     for r in sorted(rows, key=lambda r: (-r["evidence"], -len(r["text"]), r["text"])):
         if not any(r["text"].startswith(f.text) or f.text.startswith(r["text"]) for f in chosen):
             chosen.append(Feature(r["text"], r["rate"]))
@@ -413,7 +474,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tup
     rate = (F.col("c") + 0.5) / F.lit(float(total["c"]) + 1.0)
     odds = F.log(F.col("t") / F.lit(float(total["t"]) + 1.0)) - F.log(rate)
     rows = by.where(F.col("t") >= MIN_CONTEXTS).select("text", rate.alias("rate"), odds.alias("odds"), (F.col("t") * odds).alias("evidence")).where((F.col("odds") >= MIN_LOG_ODDS) & (F.col("evidence") >= MIN_EVIDENCE)).collect()
-    features = [f for f in _select(rows) if len(skeleton(f.text.rstrip("$"))) >= 4]
+    features = _select(rows)
     for r in train.where("toxic").select("text").mapInArrow(_usual(features), "feature bigint, n bigint").groupBy("feature").agg(F.count("*").alias("docs"), F.sum("n").alias("n")).collect():
         features[r["feature"]].share = r["docs"] / n_toxic
         features[r["feature"]].usual = r["n"] / r["docs"]
