@@ -7,7 +7,7 @@ labelled documents.
 
 Only readings that end in a weighted word can change a score, so spans that can't be read as one are never decoded.
 That test is exact and vectorised: look-alikes share a class, separators vanish, runs collapse, and what is left of a
-span must equal what is left of some weighted word.  Features of which fewer than
+span must equal what is left of some weighted word. Spans begin and end where words do. Features of which fewer than
 ``SHORTEST`` classes are left (``kill``, other scripts) are whole words only and are found as they are written, accents
 folded, without the channel.
 
@@ -55,8 +55,6 @@ for _c, _k in (_CLASS | _SYMBOL_CLASS).items():
     _BYTE[ord(_c)] = ord(_k)
 for _c, _k in _FOLD.items():
     _BYTE[_c.encode()[1]] = ord(_CLASS[_k])  # all have the lead byte C3, which vanishes
-_FIRM = np.zeros(256, bool)
-_FIRM[[*range(48, 58), *range(97, 123), *range(0x80, 0xC0)]] = True
 _ALNUM = np.zeros(256, bool)
 _ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
 _SPACE = np.zeros(256, bool)
@@ -128,8 +126,9 @@ def _count_chars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in tokens.cut(whole):
             for _, _, raw, off in tokens.blocks(tokens.lowered(batch.column(0))):
-                sym = np.where(_FIRM[raw] & ~((raw >= 48) & (raw < 58)), _SYM[raw], 0).astype(np.uint8)
-                keep = raw != 0xC3
+                word, latin = _letters(raw)
+                sym = np.where(word & ~((raw >= 48) & (raw < 58)), np.where((raw < 0x80) | latin, _SYM[raw], 27), 0).astype(np.uint8)
+                keep = (raw != 0xC3) & ((raw < 0x80) | (raw >= 0xC0) | latin)  # one byte of each letter
                 edge = np.zeros(len(raw) + 1, bool)
                 edge[off] = True
                 sym = np.where(edge[:-1] & ~keep, 0, sym)
@@ -264,49 +263,68 @@ class Scanner:
         return h
 
     def spans(self, raw: np.ndarray, off: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """(document, first byte, end byte) of candidates."""
+        """(document, first byte, end byte) of candidates. They begin and end where words do. Runs collapse within
+        tokens; then within words, where that differs (``idiot-to``)."""
         if not len(raw) or not self.by:
             return
-        kind = _BYTE[raw]
-        n_docs = len(off) - 1
+        word, latin = _letters(raw)
+        kind = np.where((raw < 0x80) | latin, _BYTE[raw], 0)
         at = np.flatnonzero(kind)
         if not len(at):
             return
         space = _SPACE[raw]
-        token = np.cumsum(space, dtype=np.int32)
         edge = np.zeros(len(raw) + 1, np.int32)
         np.add.at(edge, off[1:-1], 1)
-        token = token + np.cumsum(edge[:-1], dtype=np.int32)  # a document's start begins a token
-        k, t = kind[at], token[at]
-        new = np.append(True, (k[1:] != k[:-1]) | (t[1:] != t[:-1]))
-        run_end = np.append(np.flatnonzero(new)[1:], len(at)) - 1  # last byte of each run of one class
-        last = at[run_end]
-        at, k, t = at[new], k[new], t[new]
-        m = len(at)
-        firm = _FIRM[raw[at]] | _FIRM[raw[last]]
-        # a span may begin where only symbols, and end where only symbols, come before and after it in its token
-        group = np.flatnonzero(np.append(True, t[1:] != t[:-1]))
-        size = np.diff(np.append(group, m))
-        seen = np.cumsum(firm)
-        before = seen - firm - np.repeat(seen[group] - firm[group], size)
-        upto = np.repeat(seen[group + size - 1], size)
-        begins = before == 0
-        ends = upto - seen == 0
+        token = (np.cumsum(space, dtype=np.int32) + np.cumsum(edge[:-1], dtype=np.int32))[at]  # a document's start begins a token
+        part = np.cumsum(np.append(False, word[1:] != word[:-1]), dtype=np.int32)[at]
         doc = np.searchsorted(off, at, "right") - 1
-        h = np.zeros(m + 1, np.uint64)
-        np.cumsum(tokens._RND[k] * tokens.powers(m), out=h[1:])
-        inverse = tokens.powers(m, tokens._INV)
-        start = np.flatnonzero(begins)
-        token_end = np.repeat(last[group + size - 1], size)
-        for (n, closed), known in self.by.items():
-            s = start[start + n <= m]
-            s = s[doc[s] == doc[s + n - 1]]
-            if closed:
-                s = s[ends[s + n - 1]]
-            got = (h[s + n] - h[s]) * inverse[s]
-            i = np.minimum(np.searchsorted(known, got), len(known) - 1)
-            for x in s[known[i] == got]:
-                yield int(doc[x]), int(at[x]), int(last[x + n - 1] if closed else token_end[x + n - 1]) + 1
+        k = kind[at]
+        # no letter or digit of the document before the character, or after it
+        prior = at - 1 - latin[at]
+        free_before = (prior < off[doc]) | ~word[np.maximum(prior, 0)]
+        after = at + 1
+        free_after = (after >= off[doc + 1]) | ~word[np.minimum(after, len(raw) - 1)]
+        stops, blanks = np.flatnonzero(~word & (kind == 0)), np.flatnonzero(space)
+        same = k[1:] == k[:-1]
+        same_token = token[1:] == token[:-1]
+        same_word = same_token & (part[1:] == part[:-1])
+        passes = [(same & same_token, None)]
+        for joined, differs in ((same & same_word, same & same_token & ~same_word),):
+            if differs.any():
+                passes.append((joined, differs))
+        for joined, differs in passes:
+            new = np.append(True, ~joined)
+            final = np.append(np.flatnonzero(new)[1:], len(at)) - 1  # last letter of each run
+            first = np.flatnonzero(new)
+            m = len(first)
+            unlike = None
+            if differs is not None:  # runs at a border where this pass differs from the first
+                mark = np.zeros(len(at) + 1, np.int64)
+                mark[1:-1] = np.cumsum(differs)
+                mark[-1] = mark[-2]
+                unlike = mark
+            h = np.zeros(m + 1, np.uint64)
+            np.cumsum(tokens._RND[k[first]] * tokens.powers(m), out=h[1:])
+            inverse = tokens.powers(m, tokens._INV)
+            start = np.flatnonzero(free_before[first])
+            for (n, closed), known in self.by.items():
+                s = start[start + n <= m]
+                s = s[doc[first[s]] == doc[final[s + n - 1]]]
+                if unlike is not None:
+                    s = s[unlike[final[s + n - 1] + 1] > unlike[np.maximum(first[s] - 1, 0)]]
+                if closed:
+                    s = s[free_after[final[s + n - 1]]]
+                got = (h[s + n] - h[s]) * inverse[s]
+                i = np.minimum(np.searchsorted(known, got), len(known) - 1)
+                for x in s[known[i] == got].tolist():
+                    a, b, d = int(at[first[x]]), int(at[final[x + n - 1]]) + 1, int(doc[first[x]])
+                    if not closed:  # to the end of the word, or of the token where separators stand between the letters
+                        near = stops if np.searchsorted(stops, a) == np.searchsorted(stops, b) else blanks
+                        e = int(np.searchsorted(near, b))
+                        b = min(int(near[e]) if e < len(near) else len(raw), int(off[d + 1]))
+                        while not kind[b - 1] and not word[b - 1]:
+                            b -= 1
+                    yield d, a, b
 
     def plain(self, raw: np.ndarray, off: np.ndarray) -> Iterator[tuple[int, str]]:
         """(document, word) of words that are written like an exact feature, accents folded."""
