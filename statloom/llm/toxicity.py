@@ -264,7 +264,7 @@ class Scanner:
 
     def spans(self, raw: np.ndarray, off: np.ndarray) -> Iterator[tuple[int, int, int]]:
         """(document, first byte, end byte) of candidates. They begin and end where words do. Runs collapse within
-        tokens; then within words, where that differs (``idiot-to``)."""
+        tokens; then within words, where that differs (``idiot-to``); then over tokens, where that differs (``t t``)."""
         if not len(raw) or not self.by:
             return
         word, latin = _letters(raw)
@@ -289,7 +289,7 @@ class Scanner:
         same_token = token[1:] == token[:-1]
         same_word = same_token & (part[1:] == part[:-1])
         passes = [(same & same_token, None)]
-        for joined, differs in ((same & same_word, same & same_token & ~same_word),):
+        for joined, differs in ((same & same_word, same & same_token & ~same_word), (same & (doc[1:] == doc[:-1]), same & ~same_token & (doc[1:] == doc[:-1]))):
             if differs.any():
                 passes.append((joined, differs))
         for joined, differs in passes:

@@ -10,6 +10,7 @@ WORDS = "river stone market window garden summer winter bridge silver copper lad
 TOXIC = ["worthless", "idiot", "moron", "morbid", "kill", "ass", "дурак", "letter"]
 WRITTEN = {
     "short": {"i kill you": "kill", "an ass!": "ass", "ну дурак, ты": "дурак", "so morbid": "morbid", "a moron": "moron"},
+    "spelled": {"so w o r t h l e s s you": "worthless", "l e t t e r": "letter", "wo rth le ss": "worthless", "a let ter": "letter"},
     "borders": {"an idiot's way": "idiot", "l'idiot": "idiot", "you-idiot": "idiot", "idiot,you": "idiot", "«idiot»": "idiot", "an idiot too": "idiot", "moron/loser": "moron", "idiot-to": "idiot", "it-1d1ot": "idiot", "al-letter": "letter"},
 }
 
