@@ -120,12 +120,15 @@ class Stream:
             self.rest = self.inflate.unused_data + self.rest
         return True
 
-    def until(self, mark: bytes, most: int = 1 << 20) -> bytes | None:
+    def until(self, mark: bytes, begin: bytes) -> bytes | None:
+        """Up to and with the mark, however far; None where that isn't there or, after empty lines, ``begin`` isn't."""
         at = self.out.find(mark)
         while at < 0:
-            if len(self.out) > most or not self._fill():
+            head = bytes(self.out[:64]).lstrip(b"\r\n")
+            have = len(self.out)
+            if not begin.startswith(head[: len(begin)]) or not self._fill():
                 return None
-            at = self.out.find(mark)
+            at = self.out.find(mark, max(0, have - len(mark) + 1))
         got = bytes(self.out[: at + len(mark)])
         del self.out[: at + len(mark)]
         return got
@@ -145,7 +148,7 @@ def records(raw: BinaryIO) -> Iterator[dict]:
         if s.error:
             yield {"headers": {}, "block": b"", "error": s.error}
             continue
-        head = s.until(b"\r\n\r\n")
+        head = s.until(b"\r\n\r\n", b"WARC/")
         if head is None or not head.lstrip(b"\r\n").startswith(b"WARC/"):
             yield {"headers": {}, "block": b"", "error": s.error or "no header"}
             if s.plain:
@@ -267,12 +270,17 @@ def write_warc(pages: DataFrame, folder: str) -> list[str]:
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
-    """page_id, url, html, content_length, digest_ok of all pages after writing and reading WARC files."""
+    """page_id, url, html, content_length, digest_ok of all pages after writing and reading WARC files; a record that
+    can't be read stays, with digest_ok = false."""
     spark = pages.sparkSession
     folder = util.new_path(spark, "warc")
     paths = write_warc(pages, folder if "://" in folder else "file://" + folder)
-    got = read_warc(spark, paths).where("record_type <> 'warcinfo'")
-    return got.select("page_id", "url", F.col("payload").cast("string").alias("html"), "content_length", "digest_ok")
+    return _pages(read_warc(spark, paths))
+
+
+def _pages(got: DataFrame) -> DataFrame:
+    ok = F.when(F.col("error").isNull(), F.col("digest_ok")).otherwise(False).alias("digest_ok")
+    return got.where("record_type is distinct from 'warcinfo' or error is not null").select("page_id", "url", F.col("payload").cast("string").alias("html"), "content_length", ok)
 
 
 ORACLE = "select page_id::bigint as page_id, url, html, strlen(html)::bigint as content_length, true as digest_ok from pages"
