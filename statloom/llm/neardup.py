@@ -352,16 +352,24 @@ def groups(docs: DataFrame, distance: int = DISTANCE, chunks: int = CHUNKS) -> D
 
 def deduplicate(docs: DataFrame, distance: int = DISTANCE, chunks: int = CHUNKS) -> DataFrame:
     """One document of each group: the columns of ``docs``, without documents that are near copies of one with a
-    lesser doc_id. Of rows that repeat a doc_id with the same text one stays; rows without doc_id or text all stay."""
+    lesser doc_id; rows of one doc_id with unlike texts are judged each by its own text. Of rows that repeat a doc_id with the same text one stays; rows without doc_id or text all stay."""
     cols = docs.columns
-    drop = util.saved(groups(docs, distance, chunks).where("doc_id <> group_id").select(F.col("doc_id").alias("__drop")), "dropped")
-    text = F.xxhash64(F.col("text").cast("string"))
-    again = docs.where("doc_id is not null and text is not null").groupBy(F.col("doc_id").cast("bigint").alias("__id"), text.alias("__h")).count().where("count > 1")
-    again = util.saved(again.select("__id", "__h"), "repeated")
-    kept = docs.join(drop, F.col("doc_id").cast("bigint") == F.col("__drop"), "left_anti")
+    id_, text = F.col("doc_id").cast("bigint"), F.xxhash64(F.col("text").cast("string"))
+    rows = docs.where("doc_id is not null and text is not null").groupBy(id_.alias("__id"), text.alias("__h")).count()
+    again = util.saved(rows.where("count > 1").select("__id", "__h"), "repeated")
+    mixed = rows.groupBy("__id").count().where("count > 1")
+    if mixed.isEmpty():
+        drop = util.saved(groups(docs, distance, chunks).where("doc_id <> group_id").select(F.col("doc_id").alias("__drop")), "dropped")
+        kept = docs.join(drop, id_ == F.col("__drop"), "left_anti")
+    else:  # each (doc_id, text) is a document of its own, in the order of doc_id
+        own = util.saved(rows.select("__id", "__h").sort("__id", "__h").withColumn("__own", F.monotonically_increasing_id()), "rows")
+        known = docs.select(id_.alias("__id"), text.alias("__h"), "text").join(own, ["__id", "__h"]).select(F.col("__own").alias("doc_id"), "text")
+        drop = groups(known, distance, chunks).where("doc_id <> group_id").select(F.col("doc_id").alias("__own"))
+        drop = util.saved(own.join(drop, "__own").select(F.col("__id").alias("__drop"), F.col("__h").alias("__drop_h")), "dropped")
+        kept = docs.join(drop, (id_ == F.col("__drop")) & (text == F.col("__drop_h")), "left_anti")
     if again.isEmpty():
         return kept.select(cols)
-    on = (F.col("doc_id").cast("bigint") == F.col("__id")) & (text == F.col("__h"))
+    on = (id_ == F.col("__id")) & (text == F.col("__h"))
     once = kept.join(again, on, "left_anti").select(cols)
     several = kept.join(again, on).dropDuplicates(["__id", "__h"]).select(cols)
     return once.unionByName(several)
