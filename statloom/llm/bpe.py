@@ -9,7 +9,9 @@ The result equals that of the plain encoder.
 
 Defined results: a null text gives null tokens and count, an empty one an empty list; repeated rows give repeated
 rows; text that isn't valid Unicode can't occur in a string column; special tokens' strings are ordinary text;
-decoding an unknown id fails, null lists decode to null; other columns are ignored; an empty table gives an empty
+decoding an unknown id (negative, too
+large or without a token) fails with a ValueError that names it; null lists, and lists with a null in them, decode to
+null; ids of documents keep their type; other columns are ignored; an empty table gives an empty
 result. Texts are encoded whole.
 """
 
@@ -54,7 +56,7 @@ class Coder:
         # white space, then everything up to the next white space (as the pattern has it: White_Space of Unicode)
         self.fragments = re.compile(f"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+").findall if self.forced_blank else lambda text: [text] if text else []
         self.memo: dict[str, bytes] = {}
-        self.size = np.array([len(t) for t in self.token], np.int64)
+        self.gaps = {i for i, t in enumerate(self.token) if not t}
 
     def merge(self, piece: bytes) -> list[int]:
         """Tokens of a run of bytes by merging the pair of least rank, leftmost first, again and again."""
@@ -138,6 +140,8 @@ class Coder:
         return b"".join([get(f) or self.encode_fragment(f) for f in self.fragments(text)])
 
     def decode(self, ids: list[int]) -> str:
+        if ids and (min(ids) < 0 or max(ids) >= self.never or not self.gaps.isdisjoint(ids)):
+            raise ValueError(f"ids that the vocabulary doesn't have: {sorted(i for i in set(ids) if not 0 <= i < self.never or i in self.gaps)[:10]}")
         return b"".join(map(self.token.__getitem__, ids)).decode("utf-8", "replace")
 
 
@@ -181,8 +185,8 @@ def encode(docs: DataFrame, vocabulary: str = VOCABULARY, pattern: str = PATTERN
                 yield pa.record_batch(cols, names=names)
         c.memo.clear()
 
-    slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return slim.mapInArrow(run, "doc_id bigint, n_tokens bigint, token_ids array<int>" + ", round_trip boolean" * check)
+    slim = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    return slim.mapInArrow(run, f"doc_id {util.id_type(docs)}, n_tokens bigint, token_ids array<int>" + ", round_trip boolean" * check)
 
 
 def decode(encoded: DataFrame, vocabulary: str = VOCABULARY, pattern: str = PATTERN) -> DataFrame:
@@ -191,11 +195,13 @@ def decode(encoded: DataFrame, vocabulary: str = VOCABULARY, pattern: str = PATT
     util.make_importable(spark)
     held = spark.sparkContext.broadcast(read_vocabulary(vocabulary))
 
+    @tokens.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = coder(held.value, pattern)
-        for batch in batches:
-            text = [None if ids is None else c.decode(ids) for ids in batch.column(1).to_pylist()]
-            yield pa.record_batch([batch.column(0), pa.array(text, pa.string())], names=["doc_id", "text"])
+        for whole in batches:
+            for batch in tokens.cut(whole, 500):
+                text = [None if ids is None or None in ids else c.decode(ids) for ids in batch.column(1).to_pylist()]
+                yield pa.record_batch([batch.column(0), pa.array(text, pa.string())], names=["doc_id", "text"])
 
-    slim = encoded.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("token_ids").cast("array<int>").alias("token_ids"))
-    return slim.mapInArrow(run, "doc_id bigint, text string")
+    slim = encoded.select("doc_id", F.col("token_ids").cast("array<int>").alias("token_ids"))
+    return slim.mapInArrow(run, f"doc_id {util.id_type(encoded)}, text string")

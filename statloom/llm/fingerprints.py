@@ -98,8 +98,8 @@ def _map(samples: int):
 def fingerprints(docs: DataFrame, samples: int = SAMPLES) -> DataFrame:
     """doc_id, n_terms, signature ARRAY<BIGINT> of ``samples`` values. One pass, no shuffle."""
     util.make_importable(docs.sparkSession)
-    slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return slim.mapInArrow(_map(samples), "doc_id bigint, n_terms bigint, signature array<bigint>")
+    slim = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    return slim.mapInArrow(_map(samples), f"doc_id {util.id_type(docs)}, n_terms bigint, signature array<bigint>")
 
 
 def similarity(a, b):

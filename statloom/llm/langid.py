@@ -154,8 +154,8 @@ def identify(docs: DataFrame, profile: DataFrame | None = None, top: int = TOP)
     for lang in langs:
         pairs = np.array(sorted(by[lang]), np.int64).reshape(-1, 2)
         known.append((pairs[:, 0].copy(), pairs[:, 1].copy()))
-    slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return slim.mapInArrow(_assign(langs, known, top), "doc_id bigint, language string, distance bigint")
+    slim = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    return slim.mapInArrow(_assign(langs, known, top), f"doc_id {util.id_type(docs)}, language string, distance bigint")
 
 
 def oracle(top: int = TOP) -> str:

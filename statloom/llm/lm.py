@@ -167,12 +167,6 @@ class Filter:
         return level
 
 
-class Model:
-    def __init__(self, table: DataFrame, unigrams: DataFrame, shift: int, n_buckets: int, n_tokens: int, n_words: int, order: int) -> None:
-        self.table, self.unigrams, self.shift, self.n_buckets = table, unigrams, shift, n_buckets
-        self.n_tokens, self.n_words, self.order = n_tokens, n_words, order
-
-
 def _table(slim: DataFrame, order: int, bits: int) -> DataFrame:
     parts = slim.mapInArrow(_count(order, 64 - bits), "bucket bigint, once binary, more binary, counts binary")
     return parts.groupBy("bucket").applyInPandas(_reduce, "bucket bigint, bits bigint, filter binary, n_keys bigint")
@@ -295,7 +289,7 @@ def score(docs: DataFrame, order: int = ORDER, max_mb: float = MAX_MB) -> DataFr
     """doc_id, n_tokens, log10_prob (mean of a word), perplexity of every document."""
     spark = docs.sparkSession
     table, bits = train(docs, order)
-    slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    slim = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     size = table.agg(F.sum(F.length("filter")).alias("bytes"), F.sum("n_keys").alias("n_keys")).first()
     n_keys = int(size["n_keys"] or 0)
     n_total = int(slim.select("text").where("text is not null").mapInArrow(_tokens_in, "n bigint").agg(F.sum("n")).first()[0] or 0)

@@ -12,7 +12,11 @@ Offsets are prefix sums in two steps, over hash buckets and within them, so that
 
 Defined results: a null source is a source of its own; a null or empty text has 0 tokens and gets the position at
 which its turn comes; repeated rows are separate documents; rows that tie in hash and doc_id are ordered by tokens;
-an empty table, or one without a token, gives positions 0 in epoch 0; other columns pass through ``mix`` untouched.
+an empty table, or one without a token, gives positions 0 in epoch 0; other columns pass through ``mix`` untouched,
+whatever their names; ids keep their type. A schedule needs for every source of the documents one row, with a weight
+of at least 0 at every knot and sums of 1; otherwise a ValueError says what it lacks. A document's tokens are a
+quarter of its characters, rounded up, or what the column ``token_count`` has, where null and negative numbers are 0.
+Buckets hold about 20,000 documents up to 2**24 buckets a source, and more beyond that.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from . import util
 
 CHARS_PER_TOKEN = 4
-_P = "__mix_"
+NO_SOURCE = "\u0000"
 
 
 def tokens_of(text: Column) -> Column:
@@ -39,19 +43,37 @@ def default_schedule(supply: DataFrame) -> DataFrame:
     return roots.select("source", F.array("p", F.when(F.sum("r").over(everything) > 0, F.col("r") / F.sum("r").over(everything)).otherwise(F.lit(0.0))).alias("weights"))
 
 
-def _positions(docs: DataFrame, schedule: DataFrame | None, knots: list[float], total: float | None) -> DataFrame:
-    """``docs`` with __mix_ columns; carries all columns, in one exchange on (source, bucket)."""
+def _checked(schedule: DataFrame, sources: DataFrame, knots: list[float]) -> DataFrame:
+    """The schedule, which has a row a source, with null as a source of its own; a ValueError where it isn't one."""
+    if len(knots) < 2 or knots[0] != 0 or knots[-1] != 1 or any(a >= b for a, b in zip(knots, knots[1:])):
+        raise ValueError("knots must rise from 0 to 1")
+    plan = schedule.select(F.coalesce(F.col("source").cast("string"), F.lit(NO_SOURCE)).alias("source"), F.col("weights").cast("array<double>").alias("weights"))
+    if plan.groupBy("source").count().where("count > 1").count():
+        raise ValueError("a source has more than one row of weights")
+    if plan.where((F.size("weights") != len(knots)) | F.exists("weights", lambda w: w.isNull() | (w < 0)) | F.col("weights").isNull()).count():
+        raise ValueError("every source needs a weight of at least 0 at every knot")
+    sums = plan.agg(*[F.sum(F.col("weights")[i]).alias(f"w{i}") for i in range(len(knots))]).first()
+    if any(abs((s or 0.0) - 1) > 1e-6 for s in sums):
+        raise ValueError(f"weights at the knots sum to {list(sums)}, not to 1")
+    unknown = [r["source"] for r in sources.join(plan, "source", "left_anti").limit(10).collect()]
+    if unknown:
+        raise ValueError(f"sources without weights: {unknown}")
+    return plan
+
+
+def _positions(docs: DataFrame, schedule: DataFrame | None, knots: list[float], total: float | None, token_count: str | None, _P: str) -> DataFrame:
+    """``docs`` with columns that begin with ``_P``; carries all columns, in one exchange on (source, bucket)."""
     n = docs.count()
     bits = max(4, min(24, math.ceil(math.log2(max(n, 1) / 20_000 + 1))))
     key = docs.withColumns({
-        _P + "source": F.coalesce(F.col("source").cast("string"), F.lit("\u0000")),
-        _P + "id": F.col("doc_id").cast("bigint"),
-        _P + "tokens": tokens_of(F.col("text")),
-        _P + "order": F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("bigint").cast("string"), F.lit("")).cast("binary")), 1, 8), 16, 10).cast("bigint"),
+        _P + "source": F.coalesce(F.col("source").cast("string"), F.lit(NO_SOURCE)),
+        _P + "id": F.col("doc_id"),
+        _P + "tokens": tokens_of(F.col("text")) if token_count is None else F.greatest(F.coalesce(F.col(token_count).cast("bigint"), F.lit(0)), F.lit(0)),
+        _P + "order": F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, 8), 16, 10).cast("bigint"),
     }).withColumn(_P + "bucket", F.shiftright(F.col(_P + "order"), 32 - bits))
     sums = util.saved(key.groupBy(F.col(_P + "source").alias("source"), F.col(_P + "bucket").alias("bucket")).agg(F.sum(_P + "tokens").alias("tokens")), "supply")
     supply = sums.groupBy("source").agg(F.sum("tokens").alias("supply"))
-    plan = default_schedule(supply) if schedule is None else schedule.select(F.coalesce(F.col("source"), F.lit("\u0000")).alias("source"), "weights")
+    plan = default_schedule(supply) if schedule is None else _checked(schedule, supply, knots)
     steps = [b - a for a, b in zip(knots, knots[1:])]
     areas = F.array(*[(F.col("weights")[i] + F.col("weights")[i + 1]) * F.lit(0.5 * h) for i, h in enumerate(steps)])
     plan = supply.join(plan, "source").withColumn("areas", areas).withColumn("whole", F.expr("aggregate(areas, 0D, (a, x) -> a + x)"))
@@ -83,16 +105,20 @@ def _positions(docs: DataFrame, schedule: DataFrame | None, knots: list[float],
     return placed.withColumn(_P + "position", F.round(position, 9))
 
 
-def positions(docs: DataFrame, schedule: DataFrame | None = None, knots: tuple[float, ...] = (0.0, 1.0), total: float | None = None) -> DataFrame:
+def positions(docs: DataFrame, schedule: DataFrame | None = None, knots: tuple[float, ...] = (0.0, 1.0), total: float | None = None, token_count: str | None = None) -> DataFrame:
     """doc_id, source, tokens, epoch, position of every use of a document, range-sorted by position."""
-    slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("text"))
-    out = _positions(slim, schedule, list(knots), total)
+    slim = docs.select("doc_id", F.col("source").cast("string").alias("source"), F.col("text") if token_count is None else F.col(token_count))
+    _P = "mix_"
+    out = _positions(slim, schedule, list(knots), total, token_count, _P)
     return out.select("doc_id", "source", F.col(_P + "tokens").alias("tokens"), F.col(_P + "epoch").alias("epoch"), F.col(_P + "position").alias("position")).orderBy("position", "doc_id", "epoch")
 
 
-def mix(docs: DataFrame, schedule: DataFrame | None = None, knots: tuple[float, ...] = (0.0, 1.0), total: float | None = None) -> DataFrame:
+def mix(docs: DataFrame, schedule: DataFrame | None = None, knots: tuple[float, ...] = (0.0, 1.0), total: float | None = None, token_count: str | None = None) -> DataFrame:
     """The rows of ``docs``, repeated as their source is, range-sorted by training position."""
-    out = _positions(docs, schedule, list(knots), total)
+    _P = "mix_"
+    while any(c.lower().startswith(_P) for c in docs.columns):  # no name of the table is touched
+        _P += "_"
+    out = _positions(docs, schedule, list(knots), total, token_count, _P)
     return out.orderBy(_P + "position", _P + "id", _P + "epoch").select(docs.columns)
 
 

@@ -3,9 +3,11 @@
 Each document's set of words gives 256 MinHash values of which one bit each is kept. Signatures of sets with Jaccard
 similarity J differ in 256 (1 - J) / 2 bits on average. All pairs of signatures that differ in at most ``distance``
 bits are found, without exception, by the pigeonhole principle applied twice: cut into ``chunks`` chunks, a pair has
-at most r = distance // chunks errors in one of them, so those errors are enumerated; and cut into r + 1 pieces, that
-chunk has a piece without error, so documents are routed by (chunk, piece, value of the piece) and the errors are
-enumerated within such a group only. A signature travels chunks * (r + 1) times, about distance + 1.
+at most r = distance // chunks errors in one of them, so those errors are enumerated; and cut into p > r pieces, that
+chunk has p - r pieces without error, so signatures are routed by the bits of such pieces, for each choice of them, and
+the errors are enumerated among the chunk's other bits within such a group only. A signature travels
+chunks * binomial(p, r) times: 24 times with p = 2, where a route has 2**10 groups, 48 times and 2**15 groups with
+p = 4. p follows the number of unlike signatures, so that a group doesn't grow with the corpus; pairs are the same.
 
 Groups are the connected components of the pairs. Within a routed group only enough pairs are kept to connect what
 they connect, so a group of thousands of copies costs no quadratic output.
@@ -13,17 +15,21 @@ they connect, so a group of thousands of copies costs no quadratic output.
 Defined results: a null text, and a null doc_id, are in no group; texts without a word are compared as whole strings
 (so empty texts are copies of each other); repeated rows with one doc_id are one document and form no group by
 themselves; the representative of a group is its least doc_id; an empty table gives an empty result; other columns
-are ignored, whatever their names.
+are ignored, whatever their names; ids keep their type.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from itertools import combinations
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import IntegralType
 
 from . import tokens, util
 
@@ -34,6 +40,8 @@ _rng = np.random.Generator(np.random.PCG64(77003))
 _A = _rng.integers(0, 1 << 32, BITS, dtype=np.uint32) | np.uint32(1)
 _B = _rng.integers(0, 1 << 32, BITS, dtype=np.uint32)
 _ROWS = 1 << 11
+GROUP = 8192  #: unlike signatures that a routed group holds on average at most
+MAX_ROUTES = 2048
 _HEAVY = 4096  #: pairs of a bucket from which on it is linked by link_all()
 
 
@@ -81,15 +89,42 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def signatures(docs: DataFrame) -> DataFrame:
     """doc_id, sig BINARY (256 bits); rows without doc_id or text are left out."""
     util.make_importable(docs.sparkSession)
-    slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))  # integers or own numbers, see groups()
     return slim.mapInArrow(_sign, "doc_id bigint, sig binary")
 
 
-def _layout(chunks: int, distance: int) -> list[list[tuple[int, int]]]:
-    """Bit ranges of the pieces of each chunk."""
+class Route(NamedTuple):
+    """A way for signatures to meet: the bits that must agree, and the other bits of the chunk."""
+
+    chunk: tuple[int, int]
+    kept: list[tuple[int, int]]
+    left: list[tuple[int, int]]
+
+
+def _layout(chunks: int, distance: int, pieces: int = 0) -> list[Route]:
+    """Every chunk is cut into ``pieces`` (at least r + 1) pieces; r of these may have the chunk's errors, so for each
+    choice of r pieces there is a route by the bits of the others."""
     r = distance // chunks
+    pieces = max(pieces, r + 1)
     ends = [round(BITS * k / chunks) for k in range(chunks + 1)]
-    return [[(a + round((b - a) * k / (r + 1)), a + round((b - a) * (k + 1) / (r + 1))) for k in range(r + 1)] for a, b in zip(ends, ends[1:])]
+    out = []
+    for a, b in zip(ends, ends[1:]):
+        cut = [(a + round((b - a) * k / pieces), a + round((b - a) * (k + 1) / pieces)) for k in range(pieces)]
+        for faulty in combinations(range(pieces), r):
+            out.append(Route((a, b), [x for i, x in enumerate(cut) if i not in faulty], [x for i, x in enumerate(cut) if i in faulty]))
+    return out
+
+
+def _pieces(rows: int, chunks: int, distance: int) -> int:
+    """The least number of pieces for which a routed group holds ``GROUP`` of ``rows`` unlike signatures on average, or
+    the number with the finest routes where none is fine enough; the pairs found don't depend on it."""
+    r = distance // chunks
+    width = min(round(BITS * (k + 1) / chunks) - round(BITS * k / chunks) for k in range(chunks))
+    choices = [n for n in range(r + 1, width + 1) if chunks * math.comb(n, r) < MAX_ROUTES]
+    for n in choices:
+        if rows / 2 ** (width * (n - r) // n) <= GROUP:
+            return n
+    return choices[-1]
 
 
 def _bits(sig: np.ndarray, a: int, b: int) -> np.ndarray:
@@ -105,18 +140,24 @@ def _bits(sig: np.ndarray, a: int, b: int) -> np.ndarray:
     return out
 
 
-def _route(chunks: int, distance: int):
-    layout = _layout(chunks, distance)
+def _joined(sig: np.ndarray, parts: list[tuple[int, int]]) -> tuple[np.ndarray, int]:
+    """The bits of some ranges as one integer, and their number."""
+    out, width = np.zeros(len(sig), np.uint64), 0
+    for a, b in parts:
+        out |= _bits(sig, a, b) << np.uint64(width)
+        width += b - a
+    return out, width
+
 
+def _route(layout: list[Route]):
     @tokens.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in tokens.cut(whole, 10_000):
                 sig = _unpack(batch.column(1))
-                for c, pieces in enumerate(layout):
-                    for p, (a, b) in enumerate(pieces):
-                        key = (np.uint64((c << 8 | p) << 40) | _bits(sig, a, b)).astype(np.int64)
-                        yield pa.record_batch([pa.array(key), batch.column(0), batch.column(1)], names=["route", "rep", "sig"])
+                for k, route in enumerate(layout):
+                    key = (np.uint64(k << 40) | _joined(sig, route.kept)[0]).astype(np.int64)
+                    yield pa.record_batch([pa.array(key), batch.column(0), batch.column(1)], names=["route", "rep", "sig"])
 
     return run
 
@@ -235,23 +276,16 @@ def _groups(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.concat(held, ignore_index=True)
 
 
-def _pairs_of(x: pd.DataFrame, chunks: int, distance: int, every: bool) -> Iterator[pd.DataFrame]:
-    layout = _layout(chunks, distance)
-    r = distance // chunks
+def _pairs_of(x: pd.DataFrame, layout: list[Route], r: int, distance: int, every: bool) -> Iterator[pd.DataFrame]:
     route = x["route"].to_numpy().astype(np.uint64)
     rep = x["rep"].to_numpy()
     sig = np.frombuffer(b"".join(x["sig"]), np.uint64).reshape(-1, BITS // 64)
     place = (route >> np.uint64(40)).astype(np.int64)
     for where in np.unique(place):
         rows = np.flatnonzero(place == where)
-        c, p = where >> 8, where & 255
         s, ids = sig[rows], rep[rows]
         _, group = np.unique(route[rows], return_inverse=True)
-        rest, width = np.zeros(len(rows), np.uint64), 0
-        for q, (a, b) in enumerate(layout[c]):
-            if q != p:
-                rest |= _bits(s, a, b) << np.uint64(width)
-                width += b - a
+        rest, width = _joined(s, layout[where].left)
         key = (group.astype(np.uint64) << np.uint64(width)) | rest
         parent = np.arange(len(rows))
         for i, j, whole in _candidates(key, _flips(width, r)):
@@ -291,30 +325,31 @@ def _pairs_of(x: pd.DataFrame, chunks: int, distance: int, every: bool) -> Itera
             yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "distance": d})
 
 
-def _first_meeting(x: np.ndarray, y: np.ndarray, layout: list, r: int) -> np.ndarray:
-    """The first (chunk, piece) through which a pair meets; it is reported there only."""
+def _first_meeting(x: np.ndarray, y: np.ndarray, layout: list[Route], r: int) -> np.ndarray:
+    """The first route through which a pair meets; it is reported there only."""
     diff = x ^ y
     out = np.full(len(x), -1, np.int64)
-    for c, pieces in enumerate(layout):
-        errors = [np.bitwise_count(_bits(diff, a, b)).astype(np.int64) for a, b in pieces]
-        fits = sum(errors) <= r
-        for p, e in enumerate(errors):
-            out[(out < 0) & fits & (e == 0)] = c << 8 | p
+    for k, route in enumerate(layout):
+        kept = sum(np.bitwise_count(_bits(diff, a, b)).astype(np.int64) for a, b in route.kept)
+        left = sum((np.bitwise_count(_bits(diff, a, b)).astype(np.int64) for a, b in route.left), np.zeros(len(x), np.int64))
+        out[(out < 0) & (kept == 0) & (left <= r)] = k
     return out
 
 
-def hamming_pairs(sigs: DataFrame, distance: int = DISTANCE, chunks: int = CHUNKS, every: bool = True) -> DataFrame:
+def hamming_pairs(sigs: DataFrame, distance: int = DISTANCE, chunks: int = CHUNKS, every: bool = True, pieces: int = 0) -> DataFrame:
     """All pairs a < b of rows (rep BIGINT, sig BINARY) within ``distance`` bits, each once, with their distance; with
-    ``every`` false only pairs that connect what all of them connect, some perhaps more than once."""
+    ``every`` false only pairs that connect what all of them connect, some perhaps more than once. More ``pieces`` make
+    finer groups and more routes, with the same pairs; 0 is the least number."""
     if not 8 <= chunks <= 256:
         raise ValueError("chunks must be from 8 to 256, so that a chunk's bits and its group fit one integer")
     util.make_importable(sigs.sparkSession)
-    routed = sigs.select("rep", "sig").mapInArrow(_route(chunks, distance), "route bigint, rep bigint, sig binary")
+    layout, r = _layout(chunks, distance, pieces), distance // chunks
+    routed = sigs.select("rep", "sig").mapInArrow(_route(layout), "route bigint, rep bigint, sig binary")
 
     @tokens.tidy
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in _groups(frames):
-            yield from _pairs_of(x, chunks, distance, every)
+            yield from _pairs_of(x, layout, r, distance, every)
 
     return routed.repartition("route").sortWithinPartitions("route").mapInPandas(run, "a bigint, b bigint, distance bigint")
 
@@ -338,11 +373,10 @@ def components(edges: DataFrame) -> DataFrame:
             return e.groupBy("u").agg(F.min("v").alias("v")).select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def groups(docs: DataFrame, distance: int = DISTANCE, chunks: int = CHUNKS) -> DataFrame:
-    """doc_id, group_id of every document in a group of two or more; group_id is the least doc_id of the group."""
+def _grouped(docs: DataFrame, distance: int, chunks: int) -> DataFrame:
     sigs = util.saved(signatures(docs), "signatures")
     reps = util.saved(sigs.groupBy("sig").agg(F.min("doc_id").alias("rep")), "representatives")
-    roots = components(hamming_pairs(reps, distance, chunks, every=False))
+    roots = components(hamming_pairs(reps, distance, chunks, every=False, pieces=_pieces(reps.count(), chunks, distance)))
     by_sig = reps.join(roots, reps.rep == roots.node, "left").select("sig", F.coalesce("root", "rep").alias("group_id"))
     member = sigs.distinct().join(by_sig, "sig").select("doc_id", "group_id")
     # a doc_id on rows of unlike texts can be in two groups: it stays in the least
@@ -350,26 +384,39 @@ def groups(docs: DataFrame, distance: int = DISTANCE, chunks: int = CHUNKS) -> D
     return member.where("doc_id <> group_id").unionByName(member.where("doc_id <> group_id").select(F.col("group_id").alias("doc_id"), "group_id").distinct())
 
 
+def groups(docs: DataFrame, distance: int = DISTANCE, chunks: int = CHUNKS) -> DataFrame:
+    """doc_id, group_id of every document in a group of two or more; group_id is the least doc_id of the group."""
+    if isinstance(docs.schema["doc_id"].dataType, IntegralType):
+        return _grouped(docs, distance, chunks)
+    own = util.saved(docs.select("doc_id").where("doc_id is not null").distinct().sort("doc_id").withColumn("own", F.monotonically_increasing_id()), "ids")
+    got = _grouped(docs.select("doc_id", "text").join(own, "doc_id").select(F.col("own").alias("doc_id"), "text"), distance, chunks)
+    named = got.join(own.withColumnRenamed("doc_id", "name"), got.doc_id == F.col("own")).select("name", "group_id")
+    return named.join(own, F.col("group_id") == F.col("own")).select(F.col("name").alias("doc_id"), F.col("doc_id").alias("group_id"))
+
+
 def deduplicate(docs: DataFrame, distance: int = DISTANCE, chunks: int = CHUNKS) -> DataFrame:
     """One document of each group: the columns of ``docs``, without documents that are near copies of one with a
-    lesser doc_id; rows of one doc_id with unlike texts are judged each by its own text. Of rows that repeat a doc_id with the same text one stays; rows without doc_id or text all stay."""
+    lesser doc_id; rows of one doc_id with unlike texts are judged each by its own text. Of rows that repeat a doc_id
+    with the same text one stays, the first by its columns written as JSON; rows without doc_id or text all stay."""
     cols = docs.columns
-    id_, text = F.col("doc_id").cast("bigint"), F.xxhash64(F.col("text").cast("string"))
-    rows = docs.where("doc_id is not null and text is not null").groupBy(id_.alias("__id"), text.alias("__h")).count()
-    again = util.saved(rows.where("count > 1").select("__id", "__h"), "repeated")
-    mixed = rows.groupBy("__id").count().where("count > 1")
+    c_id, c_hash, c_own, c_drop, c_text, c_row = util.fresh(docs, "dedup_id", "dedup_hash", "dedup_own", "dedup_drop", "dedup_text", "dedup_row")
+    id_, text = F.col("doc_id"), F.xxhash64(F.col("text").cast("string"))
+    rows = docs.where("doc_id is not null and text is not null").groupBy(id_.alias(c_id), text.alias(c_hash)).agg(F.count("*").alias(c_own))
+    again = util.saved(rows.where(F.col(c_own) > 1).select(c_id, c_hash), "repeated")
+    mixed = rows.groupBy(c_id).agg(F.count("*").alias(c_own)).where(F.col(c_own) > 1)
     if mixed.isEmpty():
-        drop = util.saved(groups(docs, distance, chunks).where("doc_id <> group_id").select(F.col("doc_id").alias("__drop")), "dropped")
-        kept = docs.join(drop, id_ == F.col("__drop"), "left_anti")
+        drop = util.saved(groups(docs, distance, chunks).where("doc_id <> group_id").select(F.col("doc_id").alias(c_drop)), "dropped")
+        kept = docs.join(drop, id_ == F.col(c_drop), "left_anti")
     else:  # each (doc_id, text) is a document of its own, in the order of doc_id
-        own = util.saved(rows.select("__id", "__h").sort("__id", "__h").withColumn("__own", F.monotonically_increasing_id()), "rows")
-        known = docs.select(id_.alias("__id"), text.alias("__h"), "text").join(own, ["__id", "__h"]).select(F.col("__own").alias("doc_id"), "text")
-        drop = groups(known, distance, chunks).where("doc_id <> group_id").select(F.col("doc_id").alias("__own"))
-        drop = util.saved(own.join(drop, "__own").select(F.col("__id").alias("__drop"), F.col("__h").alias("__drop_h")), "dropped")
-        kept = docs.join(drop, (id_ == F.col("__drop")) & (text == F.col("__drop_h")), "left_anti")
+        own = util.saved(rows.select(c_id, c_hash).sort(c_id, c_hash).withColumn(c_own, F.monotonically_increasing_id()), "rows")
+        known = docs.select(id_.alias(c_id), text.alias(c_hash), F.col("text").alias(c_text)).join(own, [c_id, c_hash]).select(F.col(c_own).alias("doc_id"), F.col(c_text).alias("text"))
+        drop = groups(known, distance, chunks).where("doc_id <> group_id").select(F.col("doc_id").alias(c_own))
+        drop = util.saved(own.join(drop, c_own).select(F.col(c_id).alias(c_drop), F.col(c_hash).alias(c_text)), "dropped")
+        kept = docs.join(drop, (id_ == F.col(c_drop)) & (text == F.col(c_text)), "left_anti")
     if again.isEmpty():
         return kept.select(cols)
-    on = (id_ == F.col("__id")) & (text == F.col("__h"))
+    on = (id_ == F.col(c_id)) & (text == F.col(c_hash))
     once = kept.join(again, on, "left_anti").select(cols)
-    several = kept.join(again, on).dropDuplicates(["__id", "__h"]).select(cols)
+    whole = F.struct(*[F.col(f"`{c}`") for c in cols])
+    several = kept.join(again, on).groupBy(c_id, c_hash).agg(F.min_by(whole, F.to_json(whole)).alias(c_row)).select(f"{c_row}.*")
     return once.unionByName(several)

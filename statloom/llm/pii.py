@@ -371,8 +371,8 @@ def _passes(docs: DataFrame, threshold: float, min_support: int) -> list[dict[st
 
 def sanitised(docs: DataFrame, threshold: float = THRESHOLD, min_support: int = MIN_SUPPORT) -> DataFrame:
     """doc_id, text (sanitised), n_entities, n_terms of every document."""
-    out = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    schema = "doc_id bigint, text string, n_entities bigint, n_terms bigint"
+    out = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    schema = f"doc_id {util.id_type(docs)}, text string, n_entities bigint, n_terms bigint"
     for k, terms in enumerate(_passes(docs, threshold, min_support)):
 
         @tokens.tidy

@@ -50,7 +50,7 @@ def clean_lines(docs: DataFrame, max_lost: float = MAX_LOST) -> DataFrame:
     rule = _rules("r", "")
     # the first rule that a line fails: 0 none, 1 navigation, 2 boilerplate, 3 punctuation, -1 blank
     verdict = f"transform(transform(split(text, '\n'), l -> {_trimmed('r', '')}), t -> case when t = '' then -1 when {rule['navigation']} then 1 when {rule['boilerplate']} then 2 when {rule['punctuation']} then 3 else 0 end)"
-    judged = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("lines", F.expr("split(text, '\n')")).withColumn("verdict", F.expr(verdict))
+    judged = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("lines", F.expr("split(text, '\n')")).withColumn("verdict", F.expr(verdict))
     n = lambda v: F.expr(f"cast(size(filter(verdict, v -> v = {v})) as bigint)")
     out = judged.select(
         "doc_id",

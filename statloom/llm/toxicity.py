@@ -471,9 +471,9 @@ def _usual(features: list[Feature]):
 def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> tuple[list[Feature], float]:
     """(features, bias) from at most ``train_rows`` labelled documents."""
     util.make_importable(docs.sparkSession)
-    lab = labels.select(F.col("doc_id").cast("bigint").alias("doc_id"), (F.col("toxic") != 0).alias("toxic")).where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    lab = labels.select(F.col("doc_id").try_cast(util.id_type(docs)).alias("doc_id"), (F.col("toxic") != 0).alias("toxic")).where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     lab = lab.orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows)
-    text = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
+    text = docs.select("doc_id", F.col("text").cast("string").alias("text")).where("text is not null")
     train = util.saved(text.join(F.broadcast(lab), "doc_id").select("text", "toxic"), "training")  # at most train_rows labels
     size = train.agg(F.sum(F.col("toxic").cast("bigint")).alias("t"), F.count("*").alias("n")).first()
     n_toxic, n_clean = int(size["t"] or 0), int((size["n"] or 0) - (size["t"] or 0))
@@ -522,8 +522,8 @@ def score(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, thre
     """doc_id, score (probability), words (restored words with a feature), is_toxic."""
     features, bias = fit(docs, labels, train_rows)
     logp = char_model(docs).logp.astype(np.float32)
-    slim = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return slim.mapInArrow(_score(features, bias, logp, threshold), "doc_id bigint, score double, words array<string>, is_toxic boolean")
+    slim = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    return slim.mapInArrow(_score(features, bias, logp, threshold), f"doc_id {util.id_type(docs)}, score double, words array<string>, is_toxic boolean")
 
 
 def reject(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, threshold: float = THRESHOLD) -> DataFrame:

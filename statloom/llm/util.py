@@ -18,11 +18,30 @@ def make_importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH", "")]))
 
 
+def id_type(docs: DataFrame, name: str = "doc_id") -> str:
+    """The type of an id, which operators keep."""
+    return docs.schema[name].dataType.simpleString()
+
+
+def fresh(docs: DataFrame, *names: str) -> list[str]:
+    """Column names like ``names`` that ``docs`` doesn't have."""
+    have = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name.lower() in have:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that all executors share: ``spark.checkpoint.dir``, or an own one where that is unset (tests)."""
+    """Folder that all executors share: ``spark.checkpoint.dir``. Where that is unset, a local session (tests) gets an
+    own folder, and a cluster an error, since its executors share no temporary folder."""
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="statloom-shared-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")

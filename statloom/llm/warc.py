@@ -265,7 +265,7 @@ def write_warc(pages: DataFrame, folder: str) -> list[str]:
         fs.move(temporary, final)
         yield pd.DataFrame({"path": [folder.rstrip("/") + f"/part-{n:06d}.warc.gz"]})
 
-    slim = pages.select(F.col("page_id").cast("bigint").cast("string").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
+    slim = pages.select(F.col("page_id").try_cast("bigint").cast("string").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     return sorted(r["path"] for r in slim.mapInPandas(run, "path string").collect())
 
 
