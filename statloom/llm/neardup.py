@@ -288,6 +288,7 @@ def _pairs_of(x: pd.DataFrame, layout: list[Route], r: int, distance: int, every
         rest, width = _joined(s, layout[where].left)
         key = (group.astype(np.uint64) << np.uint64(width)) | rest
         parent = np.arange(len(rows))
+        met: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for i, j, whole in _candidates(key, _flips(width, r)):
             if whole and every:
                 one = np.array_equal(i, j)
@@ -305,24 +306,36 @@ def _pairs_of(x: pd.DataFrame, layout: list[Route], r: int, distance: int, every
             if not len(i):
                 continue
             if every:
-                one = _first_meeting(s[i], s[j], layout, r) == where
-                i, j, d = i[one], j[one], d[one]
-            else:
-                keep = np.zeros(len(i), bool)
-                for k in range(len(i)):
-                    u, v = i[k], j[k]
-                    while parent[u] != u:
-                        parent[u] = parent[parent[u]]
-                        u = parent[u]
-                    while parent[v] != v:
-                        parent[v] = parent[parent[v]]
-                        v = parent[v]
-                    if u != v:
-                        parent[max(u, v)] = min(u, v)
-                        keep[k] = True
-                i, j, d = i[keep], j[keep], d[keep]
+                met.append((i, j, d))
+                if sum(len(m[0]) for m in met) > 100_000:
+                    yield _here(met, s, ids, layout, r, int(where))
+                    met = []
+                continue
+            keep = np.zeros(len(i), bool)
+            for k in range(len(i)):
+                u, v = i[k], j[k]
+                while parent[u] != u:
+                    parent[u] = parent[parent[u]]
+                    u = parent[u]
+                while parent[v] != v:
+                    parent[v] = parent[parent[v]]
+                    v = parent[v]
+                if u != v:
+                    parent[max(u, v)] = min(u, v)
+                    keep[k] = True
+            i, j, d = i[keep], j[keep], d[keep]
             a, b = ids[i], ids[j]
             yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "distance": d})
+        if met:
+            yield _here(met, s, ids, layout, r, int(where))
+
+
+def _here(met: list, s: np.ndarray, ids: np.ndarray, layout: list[Route], r: int, where: int) -> pd.DataFrame:
+    """Of the pairs met on a route those that met on none before."""
+    i, j, d = (np.concatenate(x) for x in zip(*met))
+    one = _first_meeting(s[i], s[j], layout[: where + 1], r) == where
+    a, b = ids[i[one]], ids[j[one]]
+    return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "distance": d[one]})
 
 
 def _first_meeting(x: np.ndarray, y: np.ndarray, layout: list[Route], r: int) -> np.ndarray:
