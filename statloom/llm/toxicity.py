@@ -5,9 +5,12 @@ look-alike digit or symbol, may be repeated, and may be followed by separators o
 reading of a written span; Viterbi search finds the likeliest, and the restored words are scored by weights fitted to
 labelled documents.
 
-Only readings that end in a weighted word can change a score, so spans that can't be read as one are never decoded.
-That test is exact and vectorised: look-alikes share a class, separators vanish, runs collapse, and what is left of a
-span must equal what is left of some weighted word. Spans begin and end where words do. Features of which fewer than
+Only readings that end in a weighted word can change a score, so spans that can't be read as one are never decoded;
+every span that can be is decoded, with all readings (the search has no beam), so the score is that of the whole text
+restored. The test is exact: look-alikes share a class, separators vanish, runs collapse, and what is left of a span
+must equal what is left of some weighted word; symbols that may also stand for nothing are tried both ways, along a
+trie of the weighted words, from those beginnings of words only that agree with the trie up to the symbol. A symbol
+with ``NOISE`` symbols directly before it is never noise. Spans begin and end where words do. Features of which fewer than
 ``SHORTEST`` classes are left (``kill``, other scripts) are whole words only and are found as they are written, accents
 folded, without the channel.
 
@@ -26,7 +29,7 @@ are ignored by ``score`` and pass through ``reject``; an empty table gives an em
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +44,7 @@ MIN_EVIDENCE = 15.0
 THRESHOLD = 0.95
 LONGEST = 10  #: letters of the longest beginning
 SHORTEST = 4  #: classes that a feature needs for the channel
+NOISE = 3  #: symbols in a row that may stand for nothing
 
 #: What each written symbol may stand for, besides itself.
 LOOKS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "<": "c"}
@@ -162,29 +166,37 @@ def char_model(docs: DataFrame) -> CharModel:
 LOOK, REPEAT, AGAIN, SEPARATOR, SPACE, NOTHING, BREAK = -1.5, -4.6, -0.5, -1.0, -2.0, -2.5, -3.0
 
 
+def noisy(text: str, i: int) -> bool:
+    """Whether ``NOISE`` look-alike symbols stand directly before a place."""
+    return i >= NOISE and all(c in LOOKS and not c.isdigit() for c in text[i - NOISE : i])
+
+
 def decode(span: str, model: CharModel) -> str:
     """The likeliest reading of a written span; words are separated by single spaces."""
     logp = model.logp
-    #: (last three symbols, text so far, last letter) -> (log probability, text); the text is kept in the state's value
-    states: dict[tuple[int, int, int], tuple[float, str]] = {(0, 0, 0): (0.0, "")}
+    #: (last three symbols, last character) -> (log probability, text so far)
+    states: dict[tuple[int, int, int, str], tuple[float, str]] = {(0, 0, 0, ""): (0.0, "")}
 
-    def emit(new: dict, state: tuple[int, int, int], text: str, lp: float, c: str) -> None:
-        a, b, d = state
+    def emit(new: dict, state: tuple[int, int, int, str], text: str, lp: float, c: str) -> None:
+        a, b, d, _ = state
         if c == " ":
             if not text or text[-1] == " ":
                 nxt, val = state, (lp, text)
             else:
-                nxt, val = (0, 0, 0), (lp + float(logp[a, b, d, 0]), text + " ")
+                nxt, val = (0, 0, 0, " "), (lp + float(logp[a, b, d, 0]), text + " ")
         else:
             s = CharModel.symbol(c)
-            nxt, val = (b, d, s), (lp + float(logp[a, b, d, s]), text + c)
-        if nxt not in new or (-val[0], val[1]) < (-new[nxt][0], new[nxt][1]):
-            new[nxt] = val
+            nxt, val = (b, d, s, c), (lp + float(logp[a, b, d, s]), text + c)
+        stay(new, nxt, val)
+
+    def stay(new: dict, state: tuple[int, int, int, str], val: tuple[float, str]) -> None:
+        if state not in new or (-val[0], val[1]) < (-new[state][0], new[state][1]):
+            new[state] = val
 
     low = span.lower()
     spaced = sum(len(w) == 1 for w in low.split()) >= 3
     for i, c in enumerate(low):
-        new: dict[tuple[int, int, int], tuple[float, str]] = {}
+        new: dict[tuple[int, int, int, str], tuple[float, str]] = {}
         folded = _FOLD.get(c, c)
         # a letter spelled out after a separator is a new one
         apart = i == 0 or not (low[i - 1].isalnum() or low[i - 1] in LOOKS)
@@ -194,27 +206,27 @@ def decode(span: str, model: CharModel) -> str:
             if c.isspace():
                 emit(new, state, text, lp + (BREAK if spaced else 0.0), " ")
                 keep = (lp + (SPACE if not spaced else SEPARATOR * 0.2), text)
-                if text and (state not in new or keep[0] > new[state][0]):
-                    new[state] = keep
+                if text:
+                    stay(new, state, keep)
                 continue
             if "a" <= folded <= "z":
                 emit(new, state, text, lp, folded)
-                if last == folded and (lp + repeat, text) > new.get(state, (-math.inf, "")):
-                    new[state] = (lp + repeat, text)
+                if last == folded and repeat > -math.inf:
+                    stay(new, state, (lp + repeat, text))
                 continue
             for o in LOOKS.get(c, ""):
                 emit(new, state, text, lp + LOOK, o)
-                if last == o and (lp + repeat + LOOK, text) > new.get(state, (-math.inf, "")):
-                    new[state] = (lp + repeat + LOOK, text)
+                if last == o and repeat > -math.inf:
+                    stay(new, state, (lp + repeat + LOOK, text))
             if c.isdigit() or c.isalpha():
                 emit(new, state, text, lp + (LOOK if c.isdigit() else 0.0), c)
             else:  # a separator, or punctuation that ends the word
                 cost = lp + (NOTHING if c in LOOKS else SEPARATOR)
-                if (cost, text) > new.get(state, (-math.inf, "")):
-                    new[state] = (cost, text)
+                if c not in LOOKS or not noisy(low, i):
+                    stay(new, state, (cost, text))
                 emit(new, state, text, cost + BREAK, " ")
-        states = dict(sorted(new.items(), key=lambda kv: (-kv[1][0], kv[1][1]))[:64])
-    done = [(lp + float(logp[a, b, d, 0]) * bool(text.strip()), text) for (a, b, d), (lp, text) in states.items()]
+        states = new
+    done = [(lp + float(logp[a, b, d, 0]) * bool(text.strip()), text) for (a, b, d, _), (lp, text) in states.items()]
     return min(done, key=lambda x: (-x[0], x[1]))[1].strip() if done else ""
 
 
@@ -249,6 +261,22 @@ class Scanner:
             if len(s) >= 2 and not f.exact:
                 by.setdefault((len(s), f.text.endswith("$")), set()).add(self._hash(s))
         self.by = {n: np.array(sorted(v), np.uint64) for n, v in by.items()}
+        #: trie of what is left of features: node -> (children by class, ends a whole word, ends a beginning)
+        self.trie: list[tuple[dict[int, int], set[bool]]] = [({}, set())]
+        starts: dict[int, set[int]] = {}
+        for f in features:
+            s = skeleton(f.text.rstrip("$"))
+            if len(s) < 2 or f.exact:
+                continue
+            node = 0
+            for i, c in enumerate(s.encode()):
+                starts.setdefault(i + 1, set()).add(self._hash(s[: i + 1]))
+                if c not in self.trie[node][0]:
+                    self.trie.append(({}, set()))
+                    self.trie[node][0][c] = len(self.trie) - 1
+                node = self.trie[node][0][c]
+            self.trie[node][1].add(f.text.endswith("$"))
+        self.starts = {n: np.array(sorted(v), np.uint64) for n, v in starts.items()}
         self.channelled = [not f.exact for f in features]
         self.exact = np.array(sorted({self._hash(f.text[:-1]) for f in features if f.exact}), np.uint64)
 
@@ -285,6 +313,17 @@ class Scanner:
         after = at + 1
         free_after = (after >= off[doc + 1]) | ~word[np.minimum(after, len(raw) - 1)]
         stops, blanks = np.flatnonzero(~word & (kind == 0)), np.flatnonzero(space)
+
+        def to_end(a: int, b: int, d: int) -> int:
+            """The end of the word, or of the token where separators stand between the letters."""
+            near = stops if np.searchsorted(stops, a) == np.searchsorted(stops, b) else blanks
+            e = int(np.searchsorted(near, b))
+            b = min(int(near[e]) if e < len(near) else len(raw), int(off[d + 1]))
+            while not kind[b - 1] and not word[b - 1]:
+                b -= 1
+            return b
+
+        yield from self._noise(at, k, ~word[at], doc, free_before, free_after, to_end)
         same = k[1:] == k[:-1]
         same_token = token[1:] == token[:-1]
         same_word = same_token & (part[1:] == part[:-1])
@@ -318,13 +357,70 @@ class Scanner:
                 i = np.minimum(np.searchsorted(known, got), len(known) - 1)
                 for x in s[known[i] == got].tolist():
                     a, b, d = int(at[first[x]]), int(at[final[x + n - 1]]) + 1, int(doc[first[x]])
-                    if not closed:  # to the end of the word, or of the token where separators stand between the letters
-                        near = stops if np.searchsorted(stops, a) == np.searchsorted(stops, b) else blanks
-                        e = int(np.searchsorted(near, b))
-                        b = min(int(near[e]) if e < len(near) else len(raw), int(off[d + 1]))
-                        while not kind[b - 1] and not word[b - 1]:
-                            b -= 1
-                    yield d, a, b
+                    yield d, a, b if closed else to_end(a, b, d)
+
+    def _noise(self, at: np.ndarray, k: np.ndarray, symbol: np.ndarray, doc: np.ndarray, free_before: np.ndarray, free_after: np.ndarray, to_end: Callable[[int, int, int], int]) -> Iterator[tuple[int, int, int]]:
+        """Spans in which at least one symbol stands for nothing."""
+        if not symbol.any():
+            return
+        n = len(at)
+        first = np.append(True, k[1:] != k[:-1])
+        run = np.cumsum(first) - 1
+        m = int(run[-1]) + 1
+        h = np.zeros(m + 1, np.uint64)
+        np.cumsum(tokens._RND[k[first]] * tokens.powers(m), out=h[1:])
+        places = np.flatnonzero(symbol)
+        start = np.flatnonzero(free_before)
+        upcoming = np.searchsorted(places, start, "right")
+        start, upcoming = start[upcoming < len(places)], places[upcoming[upcoming < len(places)]]
+        one = doc[start] == doc[upcoming]
+        start, upcoming = start[one], upcoming[one]
+        length = run[upcoming - 1] - run[start] + 1
+        got = (h[run[upcoming - 1] + 1] - h[run[start]]) * tokens.powers(m, tokens._INV)[run[start]]
+        near = at[1:] == at[:-1] + 1
+        close = np.append(False, symbol[:-1] & near)  # directly after a symbol
+        noise = symbol.copy()
+        row = np.zeros(n, np.int64)
+        for i in np.flatnonzero(close & symbol).tolist():
+            row[i] = row[i - 1] + 1
+        noise &= row < NOISE
+        for size, known in self.starts.items():
+            s = start[length == size]
+            g = got[length == size]
+            i = np.minimum(np.searchsorted(known, g), len(known) - 1)
+            for x in s[known[i] == g].tolist():
+                yield from self._walk(x, at, k, symbol, noise, doc, free_after, to_end)
+
+    def _walk(self, x: int, at: np.ndarray, k: np.ndarray, symbol: np.ndarray, noise: np.ndarray, doc: np.ndarray, free_after: np.ndarray, to_end: Callable[[int, int, int], int]) -> Iterator[tuple[int, int, int]]:
+        """Along the trie from one beginning of a word. A state is (node, class last taken, a symbol was left out)."""
+        d = int(doc[x])
+        if int(k[x]) not in self.trie[0][0]:
+            return
+        states = {(self.trie[0][0][int(k[x])], int(k[x]), False)}
+        i = x
+        while True:
+            i += 1
+            if i >= len(at) or doc[i] != d:
+                return
+            c, skip = int(k[i]), bool(noise[i])
+            new = set()
+            for node, last, left in states:
+                if skip:
+                    new.add((node, last, True))
+                child = node if c == last else self.trie[node][0].get(c, -1)
+                if child >= 0:
+                    new.add((child, c, left))
+            if not new:
+                return
+            for node, last, left in new:
+                ends = self.trie[node][1]
+                if left and ends and last == c:
+                    a, b = int(at[x]), int(at[i]) + 1
+                    if True in ends and free_after[i]:
+                        yield d, a, b
+                    if False in ends:
+                        yield d, a, to_end(a, b, d)
+            states = new
 
     def plain(self, raw: np.ndarray, off: np.ndarray) -> Iterator[tuple[int, str]]:
         """(document, word) of words that are written like an exact feature, accents folded."""
