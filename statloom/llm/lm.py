@@ -7,9 +7,10 @@ by the rest of the corpus (each count less the occurrence itself), interpolating
 p(w | context) = (1 - BACKOFF) (c(context w) - 1) / (c(context) - 1) + BACKOFF p(w | shorter context), down to a
 uniform share of the vocabulary.
 
-The filter grows with the corpus. Its size is checked: up to ``max_mb`` it is broadcast whole; beyond that it is cut
-into parts of at most that size by n-gram, the documents are read once for each part, and the terms of the sums are
-added up, with the same result.
+The filter grows with the corpus. Its size is checked: up to ``max_mb`` it is broadcast whole; beyond that it stays
+where it is, cut into ranges of buckets of about ``_SPAN_BYTES``: blocks of documents ask the ranges for the levels of
+their distinct n-grams and get them back, a byte each, so reads and shuffles stay in proportion to the documents. The
+result is the same.
 
 Counts travel as sorted blocks of hashes, one row for many n-grams, cut by hash so that each reducer owns a range.
 
@@ -21,11 +22,12 @@ False positives of the filter (below 0.4 % of probes) overstate a count by a lev
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from . import tokens, util
@@ -36,6 +38,8 @@ BITS = 12  #: of the filter for each insertion
 HASHES = 6
 MAX_MB = 100
 _FLUSH = 1_500_000
+_BLOCK_BYTES = 8 << 20
+_SPAN_BYTES = 4 << 20
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -134,8 +138,8 @@ def _reduce(x: pd.DataFrame) -> pd.DataFrame:
 class Filter:
     """Buckets of a log-frequency Bloom filter; ``probe`` gives the levels of keys that belong to them."""
 
-    def __init__(self, rows: list[tuple[int, int, bytes]], shift: int, n_buckets: int) -> None:
-        self.shift = np.uint64(shift)
+    def __init__(self, rows: list[tuple[int, int, bytes]], shift: int, n_buckets: int, first: int = 0) -> None:
+        self.shift, self.first = np.uint64(shift), first
         self.size = np.zeros(n_buckets, np.uint64)
         self.start = np.zeros(n_buckets, np.int64)
         at = 0
@@ -144,12 +148,9 @@ class Filter:
             at += len(packed)
         self.data = np.frombuffer(b"".join(r[2] for r in rows), np.uint8)
 
-    def owns(self, key: np.ndarray) -> np.ndarray:
-        return self.size[(key >> self.shift).astype(np.int64)] > 0
-
     def probe(self, key: np.ndarray) -> np.ndarray:
         level = np.zeros(len(key), np.int64)
-        bucket = (key >> self.shift).astype(np.int64)
+        bucket = (key >> self.shift).astype(np.int64) - self.first
         size, start = self.size[bucket], self.start[bucket]
         alive = np.flatnonzero(size > 0)
         lv = 0
@@ -176,7 +177,7 @@ def train(docs: DataFrame, order: int = ORDER) -> tuple[DataFrame, int]:
     """(bucket, bits, filter, n_keys in the shared folder; log2 of the number of buckets) over all documents."""
     util.make_importable(docs.sparkSession)
     slim = docs.select(F.col("text").cast("string").alias("text")).where("text is not null")
-    bits = int(min(20, max(6, math.ceil(math.log2(max(docs.count(), 1) / 500 + 1)))))
+    bits = int(min(40, max(6, math.ceil(math.log2(max(docs.count(), 1) / 500 + 1)))))
     return util.saved(_table(slim, order, bits), "ngrams"), bits
 
 
@@ -203,6 +204,24 @@ def log_probabilities(levels: list[np.ndarray], n_total: float, n_keys: float) -
     return np.log(p)
 
 
+def _sums(raw: np.ndarray, off: np.ndarray, order: int, n_total: float, n_keys: float, levels_of: Callable[[np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(words, sum of their log probabilities) of each document of a block; ``levels_of`` knows the level of each of
+    some distinct, sorted keys."""
+    h, _, doc = tokens.words(raw, off)
+    n = len(off) - 1
+    if not len(h):
+        return np.zeros(n, np.int64), np.zeros(n)
+    ks = keys(h, doc, order)
+    distinct, inv = np.unique(np.concatenate(ks), return_inverse=True)
+    level = levels_of(distinct)[inv].reshape(order, -1)
+    levels = [level[0]]
+    for k in range(1, order):
+        have = ks[k] != 0
+        levels.append(np.where(have, level[k], -1))
+        levels.append(np.where(have, np.append(0, level[k - 1][:-1]), -1))
+    return np.bincount(doc, minlength=n), np.bincount(doc, log_probabilities(levels, n_total, n_keys), n)
+
+
 def _score(held, shift: int, n_buckets: int, order: int, n_total: int, n_keys: int):
     @tokens.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -211,78 +230,81 @@ def _score(held, shift: int, n_buckets: int, order: int, n_total: int, n_keys: i
             for batch in tokens.cut(whole):
                 ids, text = batch.column(0), tokens.lowered(batch.column(1))
                 for i, j, raw, off in tokens.blocks(text):
-                    h, _, doc = tokens.words(raw, off)
-                    ks = keys(h, doc, order)
-                    distinct, inv = np.unique(np.concatenate(ks), return_inverse=True)
-                    level = f.probe(distinct)[inv].reshape(order, -1)
-                    levels = [level[0]]
-                    for n in range(1, order):
-                        have = ks[n] != 0
-                        levels.append(np.where(have, level[n], -1))
-                        levels.append(np.where(have, np.append(0, level[n - 1][:-1])[: len(h)], -1))
-                    logs = log_probabilities(levels, n_total, n_keys) if len(h) else np.zeros(0)
-                    total = np.bincount(doc, logs, j - i) if len(h) else np.zeros(j - i)
-                    n_words = np.bincount(doc, minlength=j - i)
+                    n_words, total = _sums(raw, off, order, n_total, n_keys, f.probe)
                     missing = ~np.asarray(text.slice(i, j - i).is_valid())
                     yield pa.record_batch([ids.slice(i, j - i), pa.array(n_words, pa.int64(), mask=missing), pa.array(total, mask=missing)], names=["doc_id", "n_tokens", "total"])
 
     return run
 
 
-def _levels(held, shift: int, n_buckets: int, order: int):
-    """Of one part of the filter: the levels of the n-grams of a row that the part owns, as (row, place, level)."""
+def _blocked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of documents: (block, ids, texts); a block's number is its partition's and its place there."""
+    part, k = TaskContext.get().partitionId(), 0
+    held: list[pa.RecordBatch] = []
+
+    def flush() -> pa.RecordBatch:
+        ids, texts = (pa.concat_arrays([b.column(c) for b in held]) for c in (0, 1))
+        ends = pa.array([0, len(ids)], pa.int32())
+        return pa.record_batch([pa.array([part << 32 | k], pa.int64()), pa.ListArray.from_arrays(ends, ids), pa.ListArray.from_arrays(ends, texts.cast(pa.string()))], names=["block", "ids", "texts"])
+
+    for batch in batches:
+        held.append(batch)
+        if sum(b.nbytes for b in held) >= _BLOCK_BYTES:
+            yield flush()
+            held, k = [], k + 1
+    if sum(b.num_rows for b in held):
+        yield flush()
+
+
+def _documents(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes, offsets, which texts are null) of a block."""
+    raw, off = tokens.buffers(tokens.lowered(texts))
+    return raw, off, ~np.asarray(texts.is_valid())
+
+
+def _asked(order: int, shift: int, width: int):
+    """The distinct n-grams of each block, sorted, one row for each range of ``width`` buckets."""
 
     @tokens.tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        f = Filter(held.value, shift, n_buckets)
-        for whole in batches:
-            for batch in tokens.cut(whole):
-                row, text = batch.column(0), tokens.lowered(batch.column(1))
-                for i, j, raw, off in tokens.blocks(text):
-                    h, _, doc = tokens.words(raw, off)
-                    first = np.searchsorted(doc, np.arange(j - i))
-                    for n, k in enumerate(keys(h, doc, order)):
-                        mine = np.flatnonzero((k != 0) & f.owns(k))
-                        level = f.probe(k[mine])
-                        mine, level = mine[level > 0], level[level > 0]
-                        d = doc[mine]
-                        yield pa.record_batch([row.slice(i, j - i).take(pa.array(d)), pa.array((mine - first[d]) * order + n, pa.int64()), pa.array(level, pa.int64())], names=["row", "place", "level"])
+        for batch in batches:
+            for block, texts in zip(batch.column(0).to_pylist(), batch.column(1)):
+                raw, off, _ = _documents(texts.values)
+                h, _, doc = tokens.words(raw, off)
+                if not len(h):
+                    continue
+                key = np.unique(np.concatenate(keys(h, doc, order)))
+                span = (key >> np.uint64(shift)).astype(np.int64) // width
+                at = np.flatnonzero(np.append(True, span[1:] != span[:-1]))
+                cut = [key[a:b].tobytes() for a, b in zip(at, np.append(at[1:], len(key)))]
+                yield pa.record_batch([pa.array(span[at]), pa.array(np.full(len(at), block)), pa.array(cut, pa.binary())], names=["span", "block", "keys"])
 
     return run
 
 
-def _from_levels(order: int, n_total: int, n_keys: int):
-    @tokens.tidy
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for x in frames:
-            total = []
-            for n, place, level in zip(x["n_tokens"], x["places"], x["levels"]):
-                if pd.isna(n):
-                    total.append(None)
-                    continue
-                lv = np.zeros(int(n) * order, np.int64)
-                if place is not None and len(place):
-                    lv[np.asarray(place, np.int64)] = level
-                lv = lv.reshape(-1, order)
-                levels = [lv[:, 0]]
-                for k in range(1, order):
-                    have = np.arange(int(n)) >= k
-                    levels += [np.where(have, lv[:, k], -1), np.where(have, np.append(0, lv[:-1, k - 1])[: int(n)], -1)]
-                total.append(float(log_probabilities(levels, n_total, n_keys).sum()) if n else 0.0)
-            yield pd.DataFrame({"doc_id": x["doc_id"], "n_tokens": x["n_tokens"], "total": pd.Series(total, dtype="float64")})
+def _answered(shift: int, n_buckets: int, width: int):
+    """Levels, a byte each, of the keys that blocks ask of one range of buckets."""
+
+    def run(key: tuple, asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        first = int(key[0]) * width
+        rows = [(int(b) - first, int(n), f) for b, n, f in zip(held["bucket"], held["bits"], held["filter"])]
+        f = Filter(rows, shift, min(width, n_buckets), first)
+        return pd.DataFrame({"block": asked["block"], "span": asked["span"], "levels": [f.probe(np.frombuffer(k, np.uint64)).astype(np.uint8).tobytes() for k in asked["keys"]]})
 
     return run
 
 
-@tokens.tidy
-def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for whole in batches:
-        for batch in tokens.cut(whole):
-            text = tokens.lowered(batch.column(2))
-            for i, j, raw, off in tokens.blocks(text):
-                n = np.bincount(tokens.words(raw, off)[2], minlength=j - i)
-                missing = ~np.asarray(text.slice(i, j - i).is_valid())
-                yield pa.record_batch([batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(n, pa.int64(), mask=missing)], names=["row", "doc_id", "n_tokens"])
+def _finished(order: int, n_total: int, n_keys: int):
+    @tokens.tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for ids, texts, got in zip(batch.column(0), batch.column(1), batch.column(2)):
+                raw, off, missing = _documents(texts.values)
+                level = np.frombuffer(b"".join(got.values.field(1).to_pylist()) if got.is_valid else b"", np.uint8).astype(np.int64)
+                n_words, total = _sums(raw, off, order, n_total, n_keys, lambda distinct: level)  # noqa: B023
+                yield pa.record_batch([ids.values, pa.array(n_words, pa.int64(), mask=missing), pa.array(total, mask=missing)], names=["doc_id", "n_tokens", "total"])
+
+    return run
 
 
 def score(docs: DataFrame, order: int = ORDER, max_mb: float = MAX_MB) -> DataFrame:
@@ -294,23 +316,19 @@ def score(docs: DataFrame, order: int = ORDER, max_mb: float = MAX_MB) -> DataFr
     n_keys = int(size["n_keys"] or 0)
     n_total = int(slim.select("text").where("text is not null").mapInArrow(_tokens_in, "n bigint").agg(F.sum("n")).first()[0] or 0)
     shift, n_buckets = 64 - bits, 1 << bits
-    parts = math.ceil(int(size["bytes"] or 0) / (max_mb * 1e6)) or 1
-
-    def part(k: int):
-        got = table.where((F.col("bucket") % parts) == k).select("bucket", "bits", "filter").toArrow()
-        return spark.sparkContext.broadcast(list(zip(got["bucket"].to_pylist(), got["bits"].to_pylist(), got["filter"].to_pylist())))
-
-    if parts == 1:
-        out = slim.mapInArrow(_score(part(0), shift, n_buckets, order, n_total, n_keys), "doc_id bigint, n_tokens bigint, total double")
-    else:
-        rows = util.saved(slim.withColumn("row", F.monotonically_increasing_id()), "rows")
-        found = None
-        for k in range(parts):
-            one = rows.select("row", "text").where("text is not null").mapInArrow(_levels(part(k), shift, n_buckets, order), "row bigint, place bigint, level bigint")
-            found = one if found is None else found.unionByName(one)
-        found = found.groupBy("row").agg(F.collect_list(F.struct("place", "level")).alias("x")).select("row", F.col("x.place").alias("places"), F.col("x.level").alias("levels"))
-        sizes = rows.select("row", "doc_id", "text").mapInArrow(_sizes, "row bigint, doc_id bigint, n_tokens bigint")
-        joined = sizes.join(found, "row", "left").select("doc_id", "n_tokens", "places", "levels")
-        out = joined.mapInPandas(_from_levels(order, n_total, n_keys), "doc_id bigint, n_tokens bigint, total double")
+    schema = f"doc_id {util.id_type(docs)}, n_tokens bigint, total double"
+    n_bytes = int(size["bytes"] or 0)
+    if n_bytes <= max_mb * 1e6:
+        got = table.select("bucket", "bits", "filter").toArrow()
+        held = spark.sparkContext.broadcast(list(zip(got["bucket"].to_pylist(), got["bits"].to_pylist(), got["filter"].to_pylist())))
+        out = slim.mapInArrow(_score(held, shift, n_buckets, order, n_total, n_keys), schema)
+    else:  # nothing that grows with the corpus leaves the executors
+        width = max(1, int(n_buckets * _SPAN_BYTES / n_bytes))
+        blocks = util.saved(slim.mapInArrow(_blocked, f"block bigint, ids array<{util.id_type(docs)}>, texts array<string>"), "blocks")
+        asked = blocks.select("block", "texts").mapInArrow(_asked(order, shift, width), "span bigint, block bigint, keys binary")
+        held = table.select(F.expr(f"bucket div {width}").alias("span"), "bucket", "bits", "filter")
+        levels = asked.groupBy("span").cogroup(held.groupBy("span")).applyInPandas(_answered(shift, n_buckets, width), "block bigint, span bigint, levels binary")
+        by = levels.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("span", "levels"))).alias("got"))
+        out = blocks.join(by, "block", "left").select("ids", "texts", "got").mapInArrow(_finished(order, n_total, n_keys), schema)
     mean = F.when(F.col("n_tokens") > 0, F.col("total") / F.col("n_tokens"))
     return out.select("doc_id", "n_tokens", F.round(mean / math.log(10), 6).alias("log10_prob"), F.round(F.exp(-mean), 4).alias("perplexity"))
