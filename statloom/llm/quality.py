@@ -14,42 +14,43 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from . import util
+
 MAX_LOST = 0.5
+#: Stock phrases of sites and words of menus in the languages of the corpus (English, German, French, Spanish).
 BOILERPLATE = (
     "all rights reserved|cookie (policy|settings|consent)|we use cookies|privacy policy|terms of (use|service)|subscribe (to|now)|sign (in|up)( |$)|"
-    "log ?in( |$)|click here|enable javascript|powered by |lorem ipsum|skip to (main )?content|share (this|on) |copyright (©|[(]c[)]|[0-9]{4})"
+    "log ?in( |$)|click here|enable javascript|powered by |lorem ipsum|skip to (main )?content|share (this|on) |copyright (©|[(]c[)]|[0-9]{4})|"
+    "alle rechte vorbehalten|datenschutzerklärung|wir verwenden cookies|nutzungsbedingungen|newsletter abonnieren|hier klicken|zum inhalt springen|"
+    "tous droits réservés|politique de confidentialité|nous utilisons des cookies|conditions d.utilisation|cliquez ici|aller au contenu|"
+    "todos los derechos reservados|política de privacidad|utilizamos cookies|condiciones de uso|haga clic aquí|saltar al contenido"
+)
+MENU = (
+    "^(home|menu|search|about( us)?|contact( us)?|next|previous|back( to top)?|read more|login|register|help|sitemap|startseite|menü|suche|kontakt|weiter|"
+    "zurück|mehr lesen|anmelden|impressum|accueil|recherche|suivant|précédent|lire la suite|connexion|inicio|buscar|contacto|siguiente|anterior|leer más)$"
 )
-MENU = "^(home|menu|search|about( us)?|contact( us)?|next|previous|back( to top)?|read more|login|register|help|sitemap)$"
-
-
-def _rules(raw: str, every: str) -> dict[str, str]:
-    """SQL text of each rule over a trimmed line t; ``raw`` marks a literal without escapes, ``every`` replaces all."""
-    def chars(pattern: str) -> str:
-        return f"(length(t) - length(regexp_replace(t, {raw}'{pattern}', ''{every})))"
-
-    def runs(pattern: str) -> str:
-        return f"length(regexp_replace(regexp_replace(t, {raw}'{pattern}', '\u0001'{every}), {raw}'[^\u0001]', ''{every}))"
 
-    def match(pattern: str, of: str) -> str:
-        return f"regexp_matches({of}, '{pattern}')" if every else f"{of} rlike r'{pattern}'"
 
+def _rules(boilerplate: str, menu: str) -> dict[str, str]:
+    """SQL text of each rule over a trimmed line t."""
+    chars = lambda pattern: f"(length(t) - length(regexp_replace(t, r'{pattern}', '')))"
+    runs = lambda pattern: f"length(regexp_replace(regexp_replace(t, r'{pattern}', '\u0001'), r'[^\u0001]', ''))"
+    navigation = f"({chars('[|»]')} >= 3 or lower(t) rlike r'{menu}')"
+    closing = "(t rlike r'[.!?…:;)»”’。！？]$' or right(t, 1) in (chr(34), chr(39)))"
     symbol = "[^A-Za-z0-9\\x{80}-\\x{10FFFF} \\t]"
-    navigation = f"({chars('[|»]')} >= 3 or {match(MENU, 'lower(t)')})"
-    boilerplate = match(BOILERPLATE, "lower(t)")
-    closing = f"({match('[.!?…:;)»”’。！？]$', 't')} or right(t, 1) in (chr(34), chr(39)))"
-    punctuation = f"((not {closing} and {runs('[^ ' + chr(92) + 't]+')} < 12) or {chars(symbol)} > 0.25 * length(t) or {runs('[!?][!?]+')} >= 3)"
-    return {"navigation": navigation, "boilerplate": boilerplate, "punctuation": punctuation}
+    words = "[^ \\t]+"
+    punctuation = f"((not {closing} and {runs(words)} < 12) or {chars(symbol)} > 0.25 * length(t) or {runs('[!?][!?]+')} >= 3)"
+    return {"navigation": navigation, "boilerplate": f"lower(t) rlike r'{boilerplate}'", "punctuation": punctuation}
 
 
-def _trimmed(raw: str, every: str) -> str:
-    return f"regexp_replace(l, {raw}'^[ \\t\\r]+|[ \\t\\r]+$', ''{every})"
+_TRIMMED = "regexp_replace(l, r'^[ \\t\\r]+|[ \\t\\r]+$', '')"
 
 
-def clean_lines(docs: DataFrame, max_lost: float = MAX_LOST) -> DataFrame:
+def clean_lines(docs: DataFrame, max_lost: float = MAX_LOST, boilerplate: str = BOILERPLATE, menu: str = MENU) -> DataFrame:
     """doc_id, kept_text, n_lines, n_navigation, n_boilerplate, n_punctuation, lost, keep of every document."""
-    rule = _rules("r", "")
+    rule = _rules(boilerplate, menu)
     # the first rule that a line fails: 0 none, 1 navigation, 2 boilerplate, 3 punctuation, -1 blank
-    verdict = f"transform(transform(split(text, '\n'), l -> {_trimmed('r', '')}), t -> case when t = '' then -1 when {rule['navigation']} then 1 when {rule['boilerplate']} then 2 when {rule['punctuation']} then 3 else 0 end)"
+    verdict = f"transform(transform(split(text, '\n'), l -> {_TRIMMED}), t -> case when t = '' then -1 when {rule['navigation']} then 1 when {rule['boilerplate']} then 2 when {rule['punctuation']} then 3 else 0 end)"
     judged = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("lines", F.expr("split(text, '\n')")).withColumn("verdict", F.expr(verdict))
     n = lambda v: F.expr(f"cast(size(filter(verdict, v -> v = {v})) as bigint)")
     out = judged.select(
@@ -64,25 +65,54 @@ def clean_lines(docs: DataFrame, max_lost: float = MAX_LOST) -> DataFrame:
     return out.select("doc_id", "kept_text", "n_lines", "n_navigation", "n_boilerplate", "n_punctuation", lost.alias("lost"), F.coalesce((F.col("n_lines") > 0) & (lost <= max_lost), F.lit(False)).alias("keep"))
 
 
-def oracle(max_lost: float = MAX_LOST) -> str:
-    rule = _rules("", ", 'g'")
-    return f"""
-with judged as (
-  select doc_id::bigint as doc_id, text, string_split(text, chr(10)) as lines,
-    list_transform(list_transform(string_split(text, chr(10)), lambda l: {_trimmed("", ", 'g'")}),
-      lambda t: case when t = '' then -1 when {rule["navigation"]} then 1 when {rule["boilerplate"]} then 2 when {rule["punctuation"]} then 3 else 0 end) as verdict
-  from documents),
+def reject(docs: DataFrame, max_lost: float = MAX_LOST) -> DataFrame:
+    """The rows of ``docs`` that keep enough, with the text that is left; other columns as they are. Rows are judged
+    in place, without a join; the input's names are free."""
+    c_row, c_got = util.fresh(docs, "quality_row", "quality_got")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc_id"), F.col("text"))
+    got = clean_lines(rows, max_lost).where("keep").select(F.col("doc_id").alias(c_row), F.col("kept_text").alias(c_got))
+    return got.select(*[F.col(c_got).alias("text") if c == "text" else F.col(f"{c_row}.`{c}`").alias(c) for c in docs.columns])
+
+
+#: Written by hand, apart from the column expressions.
+ORACLE = r"""
+with line as (
+  select r, i, l, trim(l, chr(32) || chr(9) || chr(13)) as t
+  from (select r, unnest(ls) as l, unnest(range(1, len(ls) + 1)) as i
+        from (select row_number() over () as r, string_split(text::varchar, chr(10)) as ls from documents))),
+judged as (
+  select r, i, l,
+    case when t = '' then 'blank'
+      when len(regexp_extract_all(t, '[|»]')) >= 3
+        or lower(t) in ('home', 'menu', 'search', 'about', 'about us', 'contact', 'contact us', 'next', 'previous', 'back', 'back to top', 'read more', 'login',
+          'register', 'help', 'sitemap', 'startseite', 'menü', 'suche', 'kontakt', 'weiter', 'zurück', 'mehr lesen', 'anmelden', 'impressum', 'accueil', 'recherche',
+          'suivant', 'précédent', 'lire la suite', 'connexion', 'inicio', 'buscar', 'contacto', 'siguiente', 'anterior', 'leer más') then 'navigation'
+      when len(list_filter(['all rights reserved', 'cookie policy', 'cookie settings', 'cookie consent', 'we use cookies', 'privacy policy', 'terms of use',
+          'terms of service', 'subscribe to', 'subscribe now', 'sign in ', 'sign up ', 'log in ', 'login ', 'click here', 'enable javascript', 'powered by ',
+          'lorem ipsum', 'skip to content', 'skip to main content', 'share this ', 'share on ', 'copyright ©', 'copyright (c)', 'alle rechte vorbehalten',
+          'datenschutzerklärung', 'wir verwenden cookies', 'nutzungsbedingungen', 'newsletter abonnieren', 'hier klicken', 'zum inhalt springen',
+          'tous droits réservés', 'politique de confidentialité', 'nous utilisons des cookies', 'cliquez ici', 'aller au contenu',
+          'todos los derechos reservados', 'política de privacidad', 'utilizamos cookies', 'condiciones de uso', 'haga clic aquí', 'saltar al contenido'],
+          lambda p: contains(lower(t), p))) > 0
+        or len(list_filter(['sign in', 'sign up', 'log in', 'login'], lambda p: ends_with(lower(t), p))) > 0
+        or regexp_matches(lower(t), 'copyright [0-9][0-9][0-9][0-9]|conditions d.utilisation') then 'boilerplate'
+      when (right(t, 1) not in ('.', '!', '?', '…', ':', ';', ')', '»', '”', '’', '。', '！', '？', chr(34), chr(39))
+          and len(list_filter(string_split(replace(t, chr(9), ' '), ' '), lambda w: w <> '')) < 12)
+        or len(regexp_extract_all(t, '[\x01-\x08\x0a-\x1f!-/:-@\[-`{-\x7f]')) > 0.25 * length(t)
+        or len(regexp_extract_all(t, '[!?][!?]+')) >= 3 then 'punctuation'
+      else 'good' end as verdict
+  from line),
 counted as (
-  select doc_id, text, verdict,
-    array_to_string(list_filter(lines, lambda l, i: verdict[i] <= 0), chr(10)) as kept_text,
-    coalesce(list_sum(list_transform(lines, lambda l: length(l))), 0) as all_chars,
-    coalesce(list_sum(list_transform(list_filter(lines, lambda l, i: verdict[i] > 0), lambda l: length(l))), 0) as lost_chars
-  from judged)
-select doc_id, case when text is not null then coalesce(kept_text, '') end as kept_text,
-  len(list_filter(verdict, lambda v: v >= 0))::bigint as n_lines,
-  len(list_filter(verdict, lambda v: v = 1))::bigint as n_navigation,
-  len(list_filter(verdict, lambda v: v = 2))::bigint as n_boilerplate,
-  len(list_filter(verdict, lambda v: v = 3))::bigint as n_punctuation,
-  case when text is null then null when all_chars > 0 then round(lost_chars::double / all_chars::double, 6) else 0.0::double end as lost,
-  coalesce(len(list_filter(verdict, lambda v: v >= 0)) > 0 and case when all_chars > 0 then round(lost_chars::double / all_chars::double, 6) else 0.0::double end <= {max_lost}, false) as keep
-from counted"""
+  select r, coalesce(string_agg(l, chr(10) order by i) filter (verdict in ('good', 'blank')), '') as kept_text,
+    count(*) filter (verdict <> 'blank') as n_lines, count(*) filter (verdict = 'navigation') as n_navigation,
+    count(*) filter (verdict = 'boilerplate') as n_boilerplate, count(*) filter (verdict = 'punctuation') as n_punctuation,
+    sum(length(l)) as all_chars, coalesce(sum(length(l)) filter (verdict not in ('good', 'blank')), 0) as lost_chars
+  from judged group by r),
+shares as (select *, case when all_chars > 0 then round(lost_chars::double / all_chars::double, 6) else 0.0::double end as lost from counted)
+select d.doc_id, kept_text, n_lines, n_navigation, n_boilerplate, n_punctuation, lost,
+  coalesce(n_lines > 0 and lost <= MAX_LOST, false) as keep
+from (select doc_id, row_number() over () as r from documents) d left join shares using (r)"""
+
+
+def oracle(max_lost: float = MAX_LOST) -> str:
+    return ORACLE.replace("MAX_LOST", str(max_lost))
