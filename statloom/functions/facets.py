@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 AGGREGATE = "dcAggregate/"
-PLAIN_AGGREGATE = "DataCommonsAggregate"
+#: Method of an aggregate of points without a method; a deployment sets the name that its graph uses.
+PLAIN_AGGREGATE = "PlainAggregate"
 COUNTABLE = ("amount", "area", "coverageArea", "generation", "reserves", "retailDrugDistribution")
 CLIMATE = ("lifetimeContractionProbability", "heavyPrecipitationIndex", "consecutiveDryDays")
 SPREADS = ("precipitation", "maxTemperature", "minTemperature")
@@ -22,9 +23,15 @@ def generated_provenance(import_name: str, base: bool = True) -> str:
     return provenance_name(name if name.startswith("generated/") else f"generated/{name}", base)
 
 
-def aggregate_method(method) -> Column:
+def aggregate_method(method, plain: str | None = None) -> Column:
+    plain = PLAIN_AGGREGATE if plain is None else plain
     m = F.col(method) if isinstance(method, str) else method
-    return F.when(m.isNull() | (m == "") | (m == PLAIN_AGGREGATE), F.lit(PLAIN_AGGREGATE)).when(m.startswith(AGGREGATE), m).otherwise(F.concat(F.lit(AGGREGATE), m))
+    return F.when(m.isNull() | (m == "") | (m == plain), F.lit(plain)).when(m.startswith(AGGREGATE), m).otherwise(F.concat(F.lit(AGGREGATE), m))
+
+
+def in_imports(points: DataFrame, imports: list[str] | None, base: bool = True) -> DataFrame:
+    """Rows of some imports, or of all where these aren't named."""
+    return points if imports is None else points.where(F.col("provenance").isin([provenance_name(i, base) for i in imports]))
 
 
 def aggregated(points: DataFrame, provenance: str) -> DataFrame:

@@ -159,11 +159,11 @@ def with_facet_id(points: DataFrame) -> DataFrame:
     return points.join(right, on).drop(*[f"__{n}" for n in names])
 
 
-def ingested_facet_text(import_name: str, method: str, period: str, scaling: str, unit: str) -> Column:
+def ingested_facet_text(import_name: str, method: str, period: str, scaling: str, unit: str, plain: str = "PlainAggregate") -> Column:
     """What the facet id of read series is hashed from: the import's bare name, the method without its aggregate mark."""
     m = F.coalesce(F.col(method), F.lit(""))
-    aggregate = m.startswith("dcAggregate/") | (m == "DataCommonsAggregate")
-    bare = F.when(m == "DataCommonsAggregate", "").otherwise(F.regexp_replace(m, "^dcAggregate/", ""))
+    aggregate = m.startswith("dcAggregate/") | (m == plain)
+    bare = F.when(m == plain, "").otherwise(F.regexp_replace(m, "^dcAggregate/", ""))
     rest = [F.coalesce(F.col(c), F.lit("")) for c in (period, scaling, unit)]
     return F.concat_ws("^", F.coalesce(F.col(import_name), F.lit("")), bare, *rest, F.when(aggregate, "true").otherwise("false"))
 

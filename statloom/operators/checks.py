@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from statloom.functions.numbers import is_boolean, is_number, month_gap, parse_date
+from statloom.sources.mcf import REFERENCES
 
 SERIES = ["variable", "entity", "extra", "method", "period", "unit", "scaling"]
 SMALL = 1e-6
@@ -72,7 +73,7 @@ def duplicates(observations: DataFrame, keys: list[str]) -> DataFrame:
 def variable_summary(points: DataFrame) -> DataFrame:
     return points.groupBy("variable").agg(
         F.count("*").alias("n_points"), F.min("value").alias("min_value"), F.max("value").alias("max_value"), F.count_distinct("entity").alias("n_places"), F.count_distinct("date").alias("n_dates"),
-        F.array_sort(F.collect_set("method")).alias("methods"), F.array_sort(F.collect_set("unit")).alias("units"), F.array_sort(F.collect_set("period")).alias("periods"),
+        F.array_sort(F.collect_set("method")).alias("methods"), F.array_sort(F.collect_set("unit")).alias("units"), F.array_sort(F.collect_set("period")).alias("periods"), F.array_sort(F.collect_set("scaling")).alias("scalings"),
     )
 
 
@@ -98,11 +99,21 @@ def node_errors(pv: DataFrame) -> DataFrame:
         F.max(~F.col("prop").rlike("^[a-z]")).alias("bad_prop"), F.max((F.col("type") == "RESOLVED_REF") & F.col("value").rlike(r"[^\x00-\x7f]")).alias("wide_ref"), F.max(F.col("type") == "ERROR").alias("unparsed"),
         F.max(F.when(F.col("prop") == "typeOf", F.col("value"))).alias("type"), F.count_if(F.col("prop") == "value").alias("n_value"), F.count_if((F.col("prop") == "observationDate") & parse_date("value").isNotNull()).alias("n_date"),
         F.count_if(F.col("prop") == "variableMeasured").alias("n_variable"), F.count_if(F.col("prop") == "observationAbout").alias("n_about"),
+        F.count_if((F.col("prop") == "value") & ~is_number("value")).alias("n_text"), F.max(F.when(F.col("prop") == "name", F.col("value"))).alias("name"), F.max(F.when(F.col("prop") == "dcid", F.col("value"))).alias("dcid"),
+        *[F.count_if(F.col("prop") == p).alias(f"n_{p}") for p in ("name", "subClassOf", "populationType", "measuredProperty", "statType", "location", "observedNode", "observationDate")],
+        F.max(F.col("prop").isin(REFERENCES) & F.col("type").isin("TEXT", "NUMBER")).alias("loose_ref"), F.max(F.when(F.col("prop").isin("populationType", "typeOf"), F.col("value").rlike("^[a-z]"))).alias("small_class"),
+        F.max(F.when(F.col("prop").isin("measuredProperty", "statType"), F.col("value").rlike("^[A-Z]"))).alias("large_prop"),
     )
     observation = F.coalesce(F.col("type").contains("StatVarObservation"), F.lit(False))
     rules = {
         "Sanity_MissingTypeOf": F.col("n_type") == 0, "Sanity_MultipleDcid": F.col("n_dcid") > 1, "Sanity_LongDcid": F.col("dcid_length") > 256, "Sanity_InvalidDcid": F.col("bad_dcid"), "Sanity_PropertyCase": F.col("bad_prop"),
         "Sanity_NonAsciiReference": F.col("wide_ref"), "Sanity_Unparsed": F.col("unparsed"), "Sanity_ObservationValue": observation & (F.col("n_value") != 1), "Sanity_ObservationDate": observation & (F.col("n_date") != 1),
+        "Sanity_ObservationNumber": observation & (F.col("n_text") > 0), "Sanity_ReferenceType": F.col("loose_ref"), "Sanity_ClassCase": F.coalesce("small_class", F.lit(False)),
+        "Sanity_VariableProps": (F.col("type") == "StatisticalVariable") & ((F.col("n_populationType") != 1) | (F.col("n_measuredProperty") != 1) | (F.col("n_statType") != 1)), "Sanity_PropertyValueCase": (F.col("type") == "StatisticalVariable") & F.coalesce("large_prop", F.lit(False)),
+        "Schema_NameIsDcid": F.col("type").isin("Class", "Property") & ((F.col("n_name") != 1) | (F.col("name") != F.coalesce("dcid", F.col("node_id")))), "Schema_ClassInit": (F.col("type") == "Class") & ~F.coalesce(F.col("name").rlike("^[A-Z]"), F.lit(True)),
+        "Schema_PropertyInit": (F.col("type") == "Property") & ~F.coalesce(F.col("name").rlike("^[a-z]"), F.lit(True)), "Schema_SubClassOf": (F.col("type") == "Class") & (F.col("n_subClassOf") == 0),
+        "Legacy_PopulationProps": F.coalesce(F.col("type").endswith("Population"), F.lit(False)) & ((F.col("n_populationType") != 1) | (F.col("n_location") != 1)),
+        "Legacy_ObservationProps": F.coalesce(F.col("type").endswith("Observation") & ~observation, F.lit(False)) & ((F.col("n_observedNode") != 1) | (F.col("n_observationDate") != 1) | (F.col("n_measuredProperty") != 1)),
         "Sanity_ObservationVariable": observation & (F.col("n_variable") != 1), "Sanity_ObservationAbout": observation & (F.col("n_about") != 1),
     }
     found = F.array_compact(F.array(*[F.when(v, F.lit(k)) for k, v in rules.items()]))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from itertools import product
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -51,14 +50,20 @@ class EntityCount:
     formats: list[str] = field(default_factory=lambda: ["YYYY"])
     constraints: list[Constraint] = field(default_factory=list)
     base: bool = True
+    imports: list[str] | None = None  #: whose entities count; locations, dates and properties come from all
 
 
 def slices(constraints: list[Constraint]) -> list[list[Constraint]]:
-    """Several conditions on one property are alternatives; conditions on different ones go together."""
-    by: dict[str, list[Constraint]] = {}
+    """Each condition goes to the first slice that has no condition on its property but wildcards, else to a new one."""
+    out: list[list[Constraint]] = []
     for c in constraints:
-        by.setdefault(c.prop, []).append(c)
-    return [list(x) for x in product(*by.values())]
+        for s in out:
+            if not any(x.prop == c.prop and not x.wildcard for x in s):
+                s.append(c)
+                break
+        else:
+            out.append([c])
+    return out or [[]]
 
 
 def count_entities(edges: DataFrame, config: EntityCount) -> DataFrame:
@@ -66,9 +71,10 @@ def count_entities(edges: DataFrame, config: EntityCount) -> DataFrame:
 
     The properties of an entity come from one aggregation over its edges, so the edges are shuffled once."""
     wanted = [*config.location_props, *([config.date_prop] if config.date_prop else []), *{c.prop: None for c in config.constraints}]
-    mine = edges.where(F.col("predicate").isin("typeOf", *wanted)).select("subject_id", "predicate", "object_id").distinct()
+    own = F.lit(True) if config.imports is None else F.col("provenance").isin([facets.provenance_name(i, config.base) for i in config.imports])
+    mine = edges.where(F.col("predicate").isin("typeOf", *wanted)).select("subject_id", "predicate", "object_id", own.alias("own")).distinct()
     of = lambda p: F.collect_set(F.when(F.col("predicate") == p, F.col("object_id"))).alias(f"p_{p}")
-    rows = mine.groupBy("subject_id").agg(F.collect_set(F.when((F.col("predicate") == "typeOf") & F.col("object_id").isin(config.types), F.col("object_id"))).alias("types"), *[of(p) for p in dict.fromkeys(wanted)])
+    rows = mine.groupBy("subject_id").agg(F.collect_set(F.when((F.col("predicate") == "typeOf") & F.col("object_id").isin(config.types) & F.col("own"), F.col("object_id"))).alias("types"), *[of(p) for p in dict.fromkeys(wanted)])
     rows = rows.select("*", F.explode("types").alias("type")).withColumn("location", F.explode(F.array_distinct(F.flatten(F.array(*[F.col(f"p_{p}") for p in config.location_props])))))
     rows = rows.where(~F.col("location").startswith("latLong/"))
     if config.date_prop:
@@ -79,13 +85,15 @@ def count_entities(edges: DataFrame, config: EntityCount) -> DataFrame:
     out = None
     for some in slices(config.constraints):
         part = rows
+        for prop in dict.fromkeys(c.prop for c in some):
+            part = part.withColumn(f"v_{prop}", F.explode(f"p_{prop}"))
         for c in some:
-            part = part.withColumn(f"v_{c.prop}", F.explode(f"p_{c.prop}"))
             if not c.wildcard:
                 part = part.where(c.holds(f"v_{c.prop}"))
-        shown = [x for c in some for x in (F.lit(c.prop), F.col(f"v_{c.prop}") if c.wildcard else F.lit(c.text))]
+        last = {c.prop: c for c in some}.values()  # a wildcard beside a condition on the same property names the value
+        shown = [x for c in last for x in (F.lit(c.prop), F.col(f"v_{c.prop}") if c.wildcard else F.lit(c.text))]
         held = F.create_map(*shown) if shown else F.create_map().cast("map<string,string>")
-        wild = [f"v_{c.prop}" for c in some if c.wildcard]
+        wild = [f"v_{c.prop}" for c in last if c.wildcard]
         part = part.withColumn("b", F.explode(bins)).groupBy("location", "type", F.col("b.date").alias("date"), F.col("b.period").alias("period"), *wild).agg(F.count_distinct("subject_id").cast("double").alias("value"))
         part = part.withColumn("constraints", held).select("location", "type", "date", "period", "constraints", "value")
         out = part if out is None else out.unionByName(part)

@@ -18,9 +18,9 @@ def _key(df: DataFrame, by: list[str]) -> DataFrame:
     return df.groupBy(*by).agg(F.array_join(F.transform(F.array_sort(F.collect_list(pair)), lambda x: x["pv"]), "").alias("key_str"))
 
 
-def parent_variables(edges: DataFrame, rolled: list[str] = ROLLED) -> DataFrame:
+def parent_variables(edges: DataFrame, rolled: list[str] = ROLLED, imports: list[str] | None = None) -> DataFrame:
     """source, prop, parent_value, key_str, target, curated, strategy: the variable that stands for the parent value."""
-    keyed = edges.where(F.col("predicate").isin(rolled)).select("subject_id").distinct()
+    keyed = facets.in_imports(edges, imports).where(F.col("predicate").isin(rolled)).select("subject_id").distinct()
     props = edges.select("subject_id", "predicate", "object_id").distinct().join(keyed, "subject_id", "left_semi")
     one = lambda p: F.max(F.when(F.col("predicate") == p, F.col("object_id")))
     eligible = props.groupBy("subject_id").agg(one("measuredProperty").alias("mp"), one("statType").alias("st"), one("measurementDenominator").alias("md"))
@@ -36,9 +36,10 @@ def parent_variables(edges: DataFrame, rolled: list[str] = ROLLED) -> DataFrame:
     return out.select(F.col("subject_id").alias("source"), "prop", "parent_value", "key_str", F.coalesce("curated_id", generated_id("key_str")).alias("target"), F.col("curated_id").isNotNull().alias("curated"), "strategy")
 
 
-def aggregate_enums(points: DataFrame, edges: DataFrame, rolled: list[str] = ROLLED) -> DataFrame:
-    """Points of the parent variables; the provenance gets the suffix _SuperEnum."""
-    target = parent_variables(edges, rolled).select("source", "target", "strategy").distinct()
-    joined = points.where("value is not null").join(target, points.variable == target.source).withColumns({"method": facets.aggregate_method("method"), "provenance": F.concat("provenance", F.lit("_SuperEnum")), "is_aggregate": F.lit(True)})
+def aggregate_enums(points: DataFrame, edges: DataFrame, rolled: list[str] = ROLLED, imports: list[str] | None = None, targets: DataFrame | None = None) -> DataFrame:
+    """Points of the parent variables; the provenance gets the suffix _SuperEnum. ``imports`` scopes points and the
+    variables whose values are rolled up; ``targets`` is ``parent_variables`` where that is at hand."""
+    target = (parent_variables(edges, rolled, imports) if targets is None else targets).select("source", "target", "strategy").distinct()
+    joined = facets.in_imports(points, imports).where("value is not null").join(target, points.variable == target.source).withColumns({"method": facets.aggregate_method("method"), "provenance": F.concat("provenance", F.lit("_SuperEnum")), "is_aggregate": F.lit(True)})
     out = joined.groupBy(F.col("target").alias("variable"), "entity", "extra", "date", *FACETS).agg(facets.picked("strategy", "value").alias("value"))
     return out.where("value is not null").select(COLUMNS)

@@ -2,7 +2,9 @@
 
 A variable of population type T with constraints p = v belongs to the group of all of them; removing one value, then
 its property, leads step by step up to T. All groups reached this way are the subsets of the constraints, so the
-hierarchy is enumerated at once instead of walked; variables have few constraints (``MOST`` at most).
+hierarchy is walked in rounds, one constraint fewer in each, over each subset of a variable's constraints once; no
+variable is left out, whatever its number of constraints. ``ROUNDS`` bounds
+the depth, as 50 constraints are more than a variable has.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from statloom.functions.ids import literal_key
 from statloom.functions.numbers import format_name
 from statloom.plans.storage import saved
 
-MOST = 12
+ROUNDS = 50
 BASIC = ["Person", "BLSWorker", "USCWorker", "Thing", "Household", "HousingUnit", "Place", "Energy"]
 
 
@@ -38,22 +40,31 @@ def _name(attributes: Column) -> Column:
 
 def steps(variables_: DataFrame, namespace: str = "dc/", filter_basic: bool = True) -> DataFrame:
     """variable, provenance, iteration, node1, node2, node2name, node3, node3name as the iterative walk yields them."""
-    n = F.size("attributes")
-    v = variables_.where(n <= MOST)
     basic = F.col("population_type").isin(BASIC) & F.lit(filter_basic)
     null = F.lit(None).cast("string")
     top = lambda attributes, x: F.when((F.size(attributes) == 0) & basic, null).otherwise(x)
-    start = v.select("variable", "provenance", F.lit(0).alias("iteration"), null.alias("node1"), null.alias("node2"), null.alias("node2name"), top(F.col("attributes"), _id(namespace, F.col("attributes"))).alias("node3"), top(F.col("attributes"), _name(F.col("attributes"))).alias("node3name"))
-    masks = v.where(n > 0).withColumn("mask", F.explode(F.sequence(F.lit(1), (F.pow(F.lit(2), n) - 1).cast("int"))))
-    kept = F.expr("filter(attributes, (a, i) -> (mask & shiftleft(1, i)) <> 0)")
-    masks = masks.withColumn("held", kept).select("variable", "provenance", "population_type", (n - F.size("held") + 1).alias("iteration"), "held", F.posexplode("held").alias("at", "removed"))
+    at = F.col("attributes")
+    start = variables_.select("variable", "provenance", F.lit(0).alias("iteration"), null.alias("node1"), null.alias("node2"), null.alias("node2name"), top(at, _id(namespace, at)).alias("node3"), top(at, _name(at)).alias("node3name"))
+    level = variables_.where(F.size("attributes") > 0).select("variable", "provenance", "population_type", F.col("attributes").alias("held"))
     without_value = F.expr("transform(held, (a, i) -> if(i = at, split(a, ' = ')[0], a))")
     without = F.expr("filter(held, (a, i) -> i <> at)")
-    walked = masks.withColumns({"half": without_value, "rest": without}).select(
-        "variable", "provenance", "iteration", _id(namespace, F.col("held")).alias("node1"), _id(namespace, F.col("half")).alias("node2"), _name(F.col("half")).alias("node2name"),
-        top(F.col("rest"), _id(namespace, F.col("rest"))).alias("node3"), top(F.col("rest"), _name(F.col("rest"))).alias("node3name"),
-    )
-    return start.unionByName(walked).distinct()
+    out = start
+    for k in range(1, ROUNDS + 1):
+        walked = level.select("*", F.posexplode("held").alias("at", "removed")).withColumns({"half": without_value, "rest": without})
+        walked = saved(walked.select(
+            "variable", "provenance", "population_type", "rest", F.lit(k).alias("iteration"), _id(namespace, F.col("held")).alias("node1"), _id(namespace, F.col("half")).alias("node2"), _name(F.col("half")).alias("node2name"),
+            top(F.col("rest"), _id(namespace, F.col("rest"))).alias("node3"), top(F.col("rest"), _name(F.col("rest"))).alias("node3name"),
+        ), "walk")
+        if walked.isEmpty():
+            break
+        out = out.unionByName(walked.drop("population_type", "rest"))
+        level = walked.where(F.size("rest") > 0).select("variable", "provenance", "population_type", F.col("rest").alias("held")).distinct()
+    return out.distinct()
+
+
+def generated_provenance() -> Column:
+    bare = F.regexp_replace("provenance", "^dc/base/", "")
+    return F.when(bare.startswith("generated/"), F.col("provenance")).otherwise(F.concat(F.when(F.col("provenance").startswith("dc/base/"), "dc/base/").otherwise(""), F.lit("generated/"), bare))
 
 
 def group_edges(rows: DataFrame) -> DataFrame:
@@ -70,9 +81,7 @@ def group_edges(rows: DataFrame) -> DataFrame:
         edge("node1", "specializationOf", c("node2"), c("node1").isNotNull() & two), edge("node2", "specializationOf", c("node3"), two & three),
         edge("variable", "linkedMemberOf", c("node2"), two), edge("variable", "linkedMemberOf", c("node3"), three),
     )
-    bare = F.regexp_replace("provenance", "^dc/base/", "")
-    prov = F.when(bare.startswith("generated/"), F.col("provenance")).otherwise(F.concat(F.when(F.col("provenance").startswith("dc/base/"), "dc/base/").otherwise(""), F.lit("generated/"), bare))
-    return rows.select(F.explode(F.array_compact(all_)).alias("e"), prov.alias("provenance")).select("e.*", "provenance").distinct()
+    return rows.select(F.explode(F.array_compact(all_)).alias("e"), generated_provenance().alias("provenance")).select("e.*", "provenance").distinct()
 
 
 def vertical_edges(rows: DataFrame, variables_: DataFrame, verticals: DataFrame | None = None, namespace: str = "dc/", filter_basic: bool = True) -> DataFrame:
@@ -89,7 +98,7 @@ def vertical_edges(rows: DataFrame, variables_: DataFrame, verticals: DataFrame
     else:
         spec = verticals.select("population_type", F.coalesce(format_name("property"), F.lit("")).alias("property"), "vertical").distinct()
         found = top.join(spec, ["population_type", "property"], "left").withColumn("vertical", F.coalesce("vertical", F.lit(uncategorised)))
-    return found.select(F.col("group").alias("subject_id"), F.lit("specializationOf").alias("predicate"), F.col("vertical").alias("object_id"), "provenance").distinct()
+    return found.select(F.col("group").alias("subject_id"), F.lit("specializationOf").alias("predicate"), F.col("vertical").alias("object_id"), generated_provenance().alias("provenance")).distinct()
 
 
 def group_nodes(rows: DataFrame) -> DataFrame:

@@ -19,15 +19,20 @@ def _done(df: DataFrame, provenance: str) -> DataFrame:
     return df.where("value is not null").withColumns({"provenance": F.lit(provenance), "is_aggregate": F.lit(True)}).select(COLUMNS)
 
 
-def spread_across_methods(points: DataFrame, provenance: str) -> DataFrame:
+def spread_across_methods(points: DataFrame, provenance: str, imports: list[str] | None = None) -> DataFrame:
     """max - min where at least two methods have a value."""
+    points = facets.in_imports(points, imports)
     keys = ["variable", "entity", "extra", "date", "period", "scaling", "unit"]
     out = points.where("value is not null").groupBy(*keys).agg((F.max("value") - F.min("value")).alias("value"), F.count_distinct("method").alias("n")).where("n >= 2")
     return _done(out.withColumns({"variable": F.concat(F.lit(MAX_DIFF), "variable"), "method": F.lit(facets.AGGREGATE + MAX_DIFF[:-1])}), provenance)
 
 
+#: What a series and its baseline share: the facet, which has the provenance, is part of it.
+_KEYS = ["variable", "entity", "extra", "method", "period", "unit", "scaling", "provenance", "is_aggregate"]
+
+
 def _matching(points: DataFrame, base: DataFrame, last_year: int, tag: str, provenance: str) -> DataFrame:
-    keys = ["variable", "entity", "extra", "method", "period", "unit", "scaling", "month"]
+    keys = [*_KEYS, "month"]
     on = [F.col(f"p.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys]
     later = points.withColumns({"month": extract_month("date"), "year": extract_year("date")}).where((F.col("year") > last_year) & F.col("value").isNotNull())
     cond = on[0]
@@ -37,21 +42,25 @@ def _matching(points: DataFrame, base: DataFrame, last_year: int, tag: str, prov
     return _done(out.withColumns({"variable": F.concat(F.lit(f"DifferenceRelativeToBaseDate{tag}_"), "variable"), "method": F.concat(F.lit(facets.AGGREGATE), F.coalesce("method", F.lit("")))}), provenance)
 
 
-def difference_to_date(points: DataFrame, base_date: str, provenance: str) -> DataFrame:
-    """Value less the value at the base date, of the same month and a later year."""
-    base = points.where((F.col("date") == base_date) & F.col("value").isNotNull()).select("variable", "entity", "extra", "method", "period", "unit", "scaling", extract_month("date").alias("month"), F.col("value").alias("base"))
+def difference_to_date(points: DataFrame, base_date: str, provenance: str, imports: list[str] | None = None) -> DataFrame:
+    """Value less each value of the base date's year and of the same month (0 for yearly dates), for later years, within
+    a series of one import. Several base values of a month give a row each."""
+    points = facets.in_imports(points, imports)
+    base = points.where((extract_year("date") == int(base_date[:4])) & F.col("value").isNotNull()).select(*_KEYS, extract_month("date").alias("month"), F.col("value").alias("base"))
     return _matching(points, base, int(base_date[:4]), base_date.replace("-", ""), provenance)
 
 
-def difference_to_range(points: DataFrame, start: str, end: str, provenance: str) -> DataFrame:
+def difference_to_range(points: DataFrame, start: str, end: str, provenance: str, imports: list[str] | None = None) -> DataFrame:
     """Value less the mean of the same month over the years of the range, for later years."""
+    points = facets.in_imports(points, imports)
     y1, y2 = int(start[:4]), int(end[:4])
-    base = points.where(extract_year("date").between(y1, y2) & F.col("value").isNotNull()).groupBy("variable", "entity", "extra", "method", "period", "unit", "scaling", extract_month("date").alias("month")).agg(F.avg("value").alias("base"))
+    base = points.where(extract_year("date").between(y1, y2) & F.col("value").isNotNull()).groupBy(*_KEYS, extract_month("date").alias("month")).agg(F.avg("value").alias("base"))
     return _matching(points, base, y2, f"{start.replace('-', '')}to{end.replace('-', '')}", provenance)
 
 
-def quantiles_across_methods(points: DataFrame, provenance: str, which=QUANTILES) -> DataFrame:
+def quantiles_across_methods(points: DataFrame, provenance: str, which=QUANTILES, imports: list[str] | None = None) -> DataFrame:
     """The 50th, 10th and 90th percentile over methods; spreads across methods are left out."""
+    points = facets.in_imports(points, imports)
     keys = ["variable", "entity", "extra", "date", "period", "scaling", "unit"]
     mine = points.where("value is not null").where(~F.col("variable").startswith(MAX_DIFF))
     cut = F.percentile_approx("value", [q for _, q in which], 10_000)
@@ -73,6 +82,7 @@ class OverTime:
     prefix: str = ""
     keep_name: bool = True
     variable: str | None = None
+    imports: list[str] | None = None
 
 
 def years_of(window: str | None) -> int | None:
@@ -95,7 +105,7 @@ def _binned(points: DataFrame, output_date: str | None, period: str) -> tuple[Da
 def over_time(points: DataFrame, config: OverTime, provenance: str) -> DataFrame:
     """One value for each year or month, or for one output date."""
     function, name = _OVER[config.function]
-    mine = points.where("value is not null")
+    mine = facets.in_imports(points, config.imports).where("value is not null")
     if config.input_period:
         mine = mine.where(F.coalesce("period", F.lit("")) == config.input_period)
     if config.variable:
@@ -115,13 +125,14 @@ class Threshold:
     input_period: str = "P1D"
     output_period: str = "P1Y"
     output_date: str | None = None
+    imports: list[str] | None = None
 
 
 def count_beyond(points: DataFrame, config: Threshold, provenance: str) -> DataFrame:
     """Number of points at or beyond a threshold in each bin; bins without any are dropped, and so is the unit."""
     v = F.col("value")
     hit = v >= config.value if config.at_least else v <= config.value
-    mine = points.where(hit & (F.coalesce("period", F.lit("")) == config.input_period))
+    mine = facets.in_imports(points, config.imports).where(hit & (F.coalesce("period", F.lit("")) == config.input_period))
     if config.unit:
         mine = mine.where(F.coalesce("unit", F.lit("")) == config.unit)
     if config.variable:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from statloom.functions.ids import literal_key
+from statloom.functions import facets
+from statloom.plans.storage import saved
 from statloom.schema import FACETS
 
 MOST_SAMPLES = 3
@@ -22,7 +24,10 @@ def place_type_summary(points: DataFrame, edges: DataFrame, names: DataFrame | N
 
     Points are reduced to one row a place before the types are joined, so that a place of several types isn't carried
     point by point. Places without a type are left out."""
-    per_place = points.groupBy("variable", "entity", *FACETS).agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+    return _by_place_type(points.groupBy("variable", "entity", *FACETS).agg(F.min("value").alias("lo"), F.max("value").alias("hi")), edges, names)
+
+
+def _by_place_type(per_place: DataFrame, edges: DataFrame, names: DataFrame | None) -> DataFrame:
     types = edges.where("predicate = 'typeOf'").select(F.col("subject_id").alias("entity"), F.col("object_id").alias("place_type")).distinct()
     sample = F.col("entity") if names is None else F.struct("entity", "name")
     joined = per_place.join(types, "entity")
@@ -31,10 +36,15 @@ def place_type_summary(points: DataFrame, edges: DataFrame, names: DataFrame | N
     return joined.groupBy("variable", "place_type", *FACETS).agg(F.count_distinct("entity").alias("n_places"), F.min("lo").alias("min_value"), F.max("hi").alias("max_value"), F.slice(F.array_sort(F.collect_set(sample)), 1, MOST_SAMPLES).alias("sample_places"))
 
 
-def provenance_summary(points: DataFrame, edges: DataFrame, names: DataFrame | None = None) -> DataFrame:
-    """variable, provenance, import_name, n_points, n_series, facets (array of structs with place types)."""
-    facet = facet_summary(points)
-    places = place_type_summary(points, edges, names).groupBy("variable", *FACETS).agg(F.array_sort(F.collect_list(F.struct("place_type", "n_places", "min_value", "max_value", "sample_places"))).alias("place_types"))
+def provenance_summary(points: DataFrame, edges: DataFrame, names: DataFrame | None = None, imports: list[str] | None = None) -> DataFrame:
+    """variable, provenance, import_name, n_points, n_series, facets (array of structs with place types).
+
+    Points are reduced to a row for each series first; both summaries are made from these, which the shared folder
+    holds."""
+    points = facets.in_imports(points, imports)
+    per = saved(points.groupBy("variable", "entity", "extra", *FACETS).agg(F.count("*").alias("n"), F.min("date").alias("d0"), F.max("date").alias("d1"), F.min("value").alias("lo"), F.max("value").alias("hi")), "per-series")
+    facet = per.groupBy("variable", *FACETS).agg(F.sum("n").alias("n_points"), F.count("*").alias("n_series"), F.min("d0").alias("first_date"), F.max("d1").alias("last_date"), F.min("lo").alias("min_value"), F.max("hi").alias("max_value"))
+    places = _by_place_type(per, edges, names).groupBy("variable", *FACETS).agg(F.array_sort(F.collect_list(F.struct("place_type", "n_places", "min_value", "max_value", "sample_places"))).alias("place_types"))
     on = None
     right = places.select(*[F.col(c).alias(f"__{c}") for c in ("variable", *FACETS)], "place_types")
     for c in ("variable", *FACETS):
@@ -46,8 +56,14 @@ def provenance_summary(points: DataFrame, edges: DataFrame, names: DataFrame | N
 
 
 def key_values(summary: DataFrame, kind: str = "ProvenanceSummary") -> DataFrame:
-    """Rows of the key-value table."""
-    return summary.select(F.lit(kind).alias("type"), F.col("variable").alias("key"), "provenance", F.to_json(F.struct("import_name", "n_points", "n_series", "facets")).alias("value"))
+    """Rows of the key-value table, with the names that readers of its JSON expect."""
+    of = lambda f: F.struct(
+        F.struct(f["method"].alias("measurement_method"), f["period"].alias("observation_period"), f["scaling"].alias("scaling_factor"), f["unit"].alias("unit"), f["is_aggregate"].alias("is_dc_aggregate")).alias("series_key"),
+        f["first_date"].alias("earliest_date"), f["last_date"].alias("latest_date"), f["min_value"].alias("min_value"), f["max_value"].alias("max_value"), f["n_points"].alias("observation_count"), f["n_series"].alias("time_series_count"),
+        F.map_from_entries(F.transform(F.coalesce(f["place_types"], F.array()), lambda p: F.struct(p["place_type"], F.struct(p["n_places"].alias("place_count"), p["min_value"].alias("min_value"), p["max_value"].alias("max_value"), p["sample_places"].alias("top_places"))))).alias("place_type_summary"),
+    )
+    value = F.to_json(F.struct("import_name", F.col("n_points").alias("observation_count"), F.col("n_series").alias("time_series_count"), F.transform("facets", of).alias("series_summary")))
+    return summary.select(F.lit(kind).alias("type"), F.col("variable").alias("key"), "provenance", value.alias("value"))
 
 
 def node_types(edges: DataFrame) -> DataFrame:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from statloom.functions import facets
 from statloom.operators.places import COLUMNS
+from statloom.plans.storage import saved
 from statloom.schema import FACETS
 
 
@@ -77,8 +78,9 @@ def selected(points: DataFrame, wanted: Input) -> DataFrame:
     return points
 
 
-def calculate(points: DataFrame, config: Calculation, output_import: str, base: bool = True) -> DataFrame:
+def calculate(points: DataFrame, config: Calculation, output_import: str, base: bool = True, imports: list[str] | None = None) -> DataFrame:
     """One equi-join on entity, extra entities and date. The multiplier counts for DIVIDE and MULTIPLY only."""
+    points = facets.in_imports(points, imports, base)
     a = selected(points, config.left).where("value is not null").select("entity", "extra", "date", F.col("variable").alias("v1"), F.col("method").alias("m1"), F.col("value").alias("a"))
     b = selected(points, config.right).where("value is not null").select("entity", "extra", "date", F.col("method").alias("m2"), F.col("value").alias("b"))
     x, y, k = F.col("a"), F.col("b"), F.lit(float(config.multiplier))
@@ -102,11 +104,21 @@ class Calculations:
     calculations: list[Calculation]
     output_import: str
     base: bool = True
-    extra: dict = field(default_factory=dict)
+    imports: list[str] | None = None
 
 
 def calculate_all(points: DataFrame, config: Calculations) -> DataFrame:
-    """Every calculation reads the same input, none another's output."""
+    """Every calculation reads the same input, none another's output. What any of them needs is selected once, by the
+    distinct conditions of all inputs, and written to the shared folder, so the source is scanned once."""
+    points = facets.in_imports(points, config.imports, config.base)
+    wanted = None
+    for one in {(i.variable, i.method, i.provenance) for c in config.calculations for i in (c.left, c.right)}:
+        found = F.lit(True)
+        for name, pattern in zip(("variable", "method", "provenance"), one):
+            if (condition := matches(name, pattern)) is not None:
+                found = found & condition
+        wanted = found if wanted is None else wanted | found
+    points = saved(points.where(wanted), "inputs")
     parts = [calculate(points, c, config.output_import, config.base) for c in config.calculations]
     out = parts[0]
     for p in parts[1:]:

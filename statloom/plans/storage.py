@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; an own folder only where it is unset, as in tests."""
+    """``spark.checkpoint.dir`` of the session; where it is unset, a local session (tests) gets an own folder and a
+    cluster, whose executors share no temporary folder, an error."""
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="statloom-graph-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")

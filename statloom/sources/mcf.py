@@ -137,7 +137,9 @@ def expand_template(table: DataFrame, template: dict[str, list[tuple[str, str, s
     one, a local id otherwise; empty cells give nothing; cells may hold several values."""
     if bad := check_template(template, table.columns):
         raise ValueError("; ".join(bad))
-    rows = table.withColumn("__row", F.monotonically_increasing_id().cast("string"))
+    from statloom.operators.importers import numbered
+
+    rows = numbered(table, "__row").withColumn("__row", F.col("__row").cast("string"))
     ids = {}
     for e, terms in template.items():
         own = [F.when(F.trim(F.col(f"`{a}`")) != "", strip_schema_prefix(F.trim(F.col(f"`{a}`")))) if k == "C" else F.lit(_PREFIX.sub("", a)) for p, k, a in terms if p == "dcid"]
@@ -146,7 +148,7 @@ def expand_template(table: DataFrame, template: dict[str, list[tuple[str, str, s
     cells = []
     for e, terms in template.items():
         for p, k, a in terms:
-            values = F.array(ids[a]) if k == "E" else F.array(F.lit(a)) if k == "V" else F.when(F.trim(F.col(f"`{a}`")) != "", F.transform(F.split(F.col(f"`{a}`"), r",(?=(?:[^\"]*\"[^\"]*\")*[^\"]*$)"), F.trim)).otherwise(none)
+            values = F.array(ids[a]) if k == "E" else F.array(F.lit(a)) if k == "V" else F.when(F.trim(F.col(f"`{a}`")) != "", F.transform(F.split(F.col(f"`{a}`"), r",(?=(?:[^\"]*\"[^\"]*\")*[^\"]*$)"), lambda x: F.trim(x))).otherwise(none)
             cells.append(F.struct(ids[e].alias("node_id"), F.lit(p).alias("prop"), F.lit(k).alias("kind"), F.coalesce(values, none).alias("vs")))
     long = rows.select(F.explode(F.array(*cells)).alias("c")).select("c.*").select("node_id", "prop", "kind", F.posexplode("vs").alias("pos", "value"))
     linked = long.where("kind = 'E'").select("node_id", "prop", F.col("pos").cast("int").alias("pos"), F.when(F.col("value").startswith("l:"), "UNRESOLVED_REF").otherwise("RESOLVED_REF").alias("type"), "value")
@@ -161,23 +163,145 @@ def read_tmcf(spark: SparkSession, template_path: str, csv_path: str, delimiter:
     return expand_template(csv, parse_template(text), csv_path.rsplit("/", 1)[-1].rsplit(".", 1)[0])
 
 
+def _local(key: str) -> str:
+    """The last part of an expanded key."""
+    return re.split(r"[/#:]", key.rstrip("/"))[-1]
+
+
+def _bare(x: str) -> str:
+    """An id without its prefix or the address of one."""
+    x = re.sub(r"^https?://.*/(?:browser|kg)/", "", x)
+    return x if x.startswith("l:") else re.sub(r"^(dcid|dcs|schema):", "", x)
+
+
+def expand_jsonld(doc: object) -> Iterator[tuple[str, str, int, str, str]]:
+    """``MCF_PV`` rows of a JSON-LD document: an array, a single node or an @graph. Terms and prefixes of the context
+    are replaced, terms of type @id are references, nodes within nodes become nodes of their own."""
+    import json
+
+    context: dict[str, str] = {}
+    links: set[str] = set()
+    seen: dict[tuple[str, str], int] = {}
+    out: list[tuple[str, str, int, str, str]] = []
+
+    def learn(c: object) -> None:
+        for part in c if isinstance(c, list) else [c]:
+            for k, v in part.items() if isinstance(part, dict) else ():
+                if isinstance(v, dict):
+                    links.update([k] if v.get("@type") == "@id" else [])
+                    v = v.get("@id", k)
+                if isinstance(v, str):
+                    context[k] = v
+
+    def full(x: str) -> str:
+        if x in context:
+            return full(context[x]) if context[x] != x and context[x] in context else context[x]
+        prefix, colon, rest = x.partition(":")
+        return context[prefix] + rest if colon and prefix in context and not rest.startswith("//") else x
+
+    def name(x: str) -> str:
+        prefix, colon, rest = x.partition(":")
+        if colon and prefix in context and not rest.startswith("//"):
+            return rest if prefix in ("dcid", "dcs", "schema") or context[prefix].endswith(("/", "#")) else full(x)
+        return _bare(x)
+
+    def text(v: object) -> str:
+        return v if isinstance(v, str) else json.dumps(v)
+
+    def add(node: str, prop: str, kind: str, value: str) -> None:
+        k = seen.get((node, prop), 0)
+        seen[node, prop] = k + 1
+        out.append((node, prop, k, kind, value))
+
+    def value(node: str, prop: str, link: bool, v: object) -> None:
+        if isinstance(v, list):
+            for x in v:
+                value(node, prop, link, x)
+        elif isinstance(v, dict):
+            if "@value" in v:
+                add(node, prop, "TEXT", text(v["@value"]))
+            elif "@list" in v or "@set" in v:
+                value(node, prop, link, v.get("@list", v.get("@set")))
+            elif "@id" in v:
+                to = name(str(v["@id"]))
+                add(node, prop, "UNRESOLVED_REF" if to.startswith("l:") else "RESOLVED_REF", to)
+                for k, x in v.items():
+                    if _local(full(k)) == "observationProperties":
+                        value(node, "observationProperties", k in links, x)
+                if set(v) - {"@id"} - {k for k in v if _local(full(k)) == "observationProperties"}:
+                    walk(v)
+        elif v is not None:
+            to = name(str(v))
+            add(node, prop, ("UNRESOLVED_REF" if to.startswith("l:") else "RESOLVED_REF") if link else "NUMBER" if isinstance(v, (int, float)) and not isinstance(v, bool) else "TEXT", to if link else text(v))
+
+    def walk(x: object) -> None:
+        if isinstance(x, list):
+            for y in x:
+                walk(y)
+        elif isinstance(x, dict):
+            learn(x.get("@context"))
+            if "@graph" in x:
+                walk(x["@graph"])
+            if "@id" not in x:
+                return
+            node = name(str(x["@id"]))
+            for k, v in x.items():
+                if k == "@type":
+                    for t in v if isinstance(v, list) else [v]:
+                        add(node, "typeOf", "RESOLVED_REF", name(str(t)))
+                elif not k.startswith("@"):
+                    value(node, _local(full(k)), k in links, v)
+
+    walk(doc)
+    yield from out
+
+
 def parse_jsonld(texts: DataFrame, column: str = "value") -> DataFrame:
-    """``MCF_PV`` rows of documents with an @graph; the last part of a key names the property, prefixes of ids go."""
-    local = lambda x: F.regexp_replace(x, r"^.*[/:#]", "")
-    nodes = texts.select(F.explode(F.from_json(column, "`@graph` array<map<string,string>>")["@graph"]).alias("n"))
-    pairs = nodes.select(F.regexp_replace(F.col("n")["@id"], r"^[A-Za-z]+:", "").alias("node_id"), F.explode("n").alias("key", "raw")).where("key <> '@id'")
-    values = F.when(F.col("raw").startswith("["), F.from_json("raw", "array<string>")).otherwise(F.array("raw"))
-    pairs = pairs.select("node_id", F.when(F.col("key") == "@type", "typeOf").otherwise(local(F.col("key"))).alias("prop"), F.posexplode(values).alias("pos", "raw"))
-    ref, literal = F.get_json_object(F.when(F.col("raw").startswith("{"), F.col("raw")), "$.@id"), F.get_json_object(F.when(F.col("raw").startswith("{"), F.col("raw")), "$.@value")
-    kind = F.when((F.col("prop") == "typeOf") | ref.isNotNull(), "RESOLVED_REF").when(literal.isNotNull(), "TEXT").when(is_number("raw") | is_boolean("raw"), "NUMBER").otherwise("TEXT")
-    value = F.when(F.col("prop") == "typeOf", F.regexp_replace("raw", r"^[A-Za-z]+:", "")).otherwise(F.coalesce(F.regexp_replace(ref, r"^[A-Za-z]+:", ""), literal, F.col("raw")))
-    return pairs.select("node_id", "prop", F.col("pos").cast("int").alias("pos"), kind.alias("type"), value.alias("value"))
+    """``MCF_PV`` rows of JSON-LD documents, one a row; a document that isn't JSON gives a row of type ERROR."""
+    import json
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in batches:
+            rows: list[tuple] = []
+            for t in f[column]:
+                if t is None:
+                    continue
+                try:
+                    rows += expand_jsonld(json.loads(t))
+                except ValueError:
+                    rows.append(("", "", 0, "ERROR", None))
+            yield pd.DataFrame(rows, columns=["node_id", "prop", "pos", "type", "value"])
+
+    return texts.select(column).mapInPandas(run, MCF_PV)
+
+
+MOST_TRIPLE = 65_535
+
+
+def to_triples(pv: DataFrame) -> DataFrame:
+    """subject_id, predicate, object_id, object_value of parsed nodes by their dcids; a value beyond 65,535 characters,
+    and a local node without a dcid, fail."""
+    ids = pv.where("prop = 'dcid'").groupBy("node_id").agg(F.min("value").alias("dcid"))
+    rows = pv.where("prop <> 'dcid' and value is not null").join(ids, "node_id", "left")
+    subject = F.coalesce("dcid", F.when(~F.col("node_id").startswith("l:"), F.col("node_id")).otherwise(F.raise_error(F.concat(F.lit("no dcid for the node "), "node_id")).cast("string")))
+    v = F.when(F.length("value") <= MOST_TRIPLE, F.col("value")).otherwise(F.raise_error(F.concat(F.lit("a value is too long: "), "prop")).cast("string"))
+    ref = F.col("type").isin("RESOLVED_REF", "UNRESOLVED_REF")
+    return rows.select(subject.alias("subject_id"), F.col("prop").alias("predicate"), F.when(ref, v).otherwise("").alias("object_id"), F.when(ref, "").otherwise(v).alias("object_value"))
 
 
 def read_graph(spark: SparkSession, path: str) -> DataFrame:
-    """By the name: optimised series as Parquet, JSON-LD, or node text."""
+    """By the name: parsed nodes as Parquet, packed records of optimised series, JSON-LD, or node text."""
     if path.endswith(".parquet"):
         return spark.read.schema(MCF_PV).parquet(path)
+    if "tfrecord" in path:
+        from statloom.sources import files
+
+        one = files.series_points(files.read_records(spark, path)).withColumn("node_id", F.coalesce("dcid", F.concat_ws("/", F.lit("o"), F.sha2(F.concat_ws("^", "observation_about", "variable_measured", "date", "measurement_method", "observation_period", "scaling_factor", "unit"), 256))))
+        props = {"variableMeasured": "variable_measured", "observationAbout": "observation_about", "measurementMethod": "measurement_method", "observationPeriod": "observation_period", "unit": "unit", "scalingFactor": "scaling_factor"}
+        said = [F.struct(F.lit(p).alias("prop"), F.lit("RESOLVED_REF").alias("type"), F.col(c).alias("value")) for p, c in props.items()]
+        said += [F.struct(F.lit("typeOf").alias("prop"), F.lit("RESOLVED_REF").alias("type"), F.lit("StatVarObservation").alias("value"))]
+        said += [F.struct(F.lit(p).alias("prop"), F.lit("TEXT").alias("type"), F.col(c).alias("value")) for p, c in (("observationDate", "date"), ("value", "value"), ("provenanceUrl", "provenance_url"))]
+        return one.select("node_id", F.explode(F.array(*said)).alias("x")).where("x.value <> ''").select("node_id", "x.prop", F.lit(0).alias("pos"), "x.type", "x.value")
     if ".jsonld" in path:
         return parse_jsonld(spark.read.option("wholetext", "true").text(path))
     return read_mcf(spark, path)

@@ -3,13 +3,13 @@
 import pytest
 
 from statloom.functions.ids import base32, farm_fingerprints
-from statloom.plans import catalogue
+from statloom.plans import catalogue, check_queries, graph_queries, import_queries, registry  # noqa: F401
 from statloom.sources import mcf
 
 
-@pytest.mark.parametrize("name", sorted(catalogue.SQL))
+@pytest.mark.parametrize("name", sorted(registry.SQL))
 def test_queries_equal_their_sql(name, same_as_sql):
-    same_as_sql(catalogue.QUERIES[name], catalogue.SQL[name])
+    same_as_sql(registry.QUERIES[name], registry.SQL[name])
 
 
 def test_fingerprints_of_known_texts():
