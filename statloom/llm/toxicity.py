@@ -45,6 +45,7 @@ THRESHOLD = 0.95
 LONGEST = 10  #: letters of the longest beginning
 SHORTEST = 4  #: classes that a feature needs for the channel
 NOISE = 3  #: symbols in a row that may stand for nothing
+BLOCK = 1 << 18  #: bytes that are looked at together, so that a worker holds little
 
 #: What each written symbol may stand for, besides itself.
 LOOKS = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c", "<": "c"}
@@ -129,7 +130,7 @@ def _count_chars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = np.zeros(n**4, np.int64)
     for whole in batches:
         for batch in tokens.cut(whole):
-            for _, _, raw, off in tokens.blocks(tokens.lowered(batch.column(0))):
+            for _, _, raw, off in tokens.blocks(tokens.lowered(batch.column(0)), BLOCK):
                 word, latin = _letters(raw)
                 sym = np.where(word & ~((raw >= 48) & (raw < 58)), np.where((raw < 0x80) | latin, _SYM[raw], 27), 0).astype(np.uint8)
                 keep = (raw != 0xC3) & ((raw < 0x80) | (raw >= 0xC0) | latin)  # one byte of each letter
@@ -460,7 +461,7 @@ class Scanner:
         scores: list[float | None] = []
         found: list[list[str] | None] = []
         known = np.asarray(text.is_valid())
-        for i, j, raw, off in tokens.blocks(text):
+        for i, j, raw, off in tokens.blocks(text, BLOCK):
             hits: list[set[str]] = [set() for _ in range(j - i)]
             # words: begins of runs of other bytes than white space
             ink = ~_SPACE[raw]
