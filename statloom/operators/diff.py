@@ -39,5 +39,6 @@ def changes(current: DataFrame, previous: DataFrame) -> DataFrame:
 
 def write_changes(found: DataFrame, path: str) -> None:
     """One file with a header; rows are joined as they are, since values that need quotes have them."""
-    line = F.concat_ws(",", "key", "current", "previous", "diff_type").alias("key_combined,value_combined_current,value_combined_previous,diff_type")
-    found.select(line).coalesce(1).write.mode("overwrite").option("header", "true").option("quote", "\u0000").option("escapeQuotes", "false").csv(path)
+    head = found.sparkSession.createDataFrame([(0, "key_combined,value_combined_current,value_combined_previous,diff_type")], "part int, value string")
+    lines = found.select(F.lit(1).alias("part"), F.concat_ws(",", "key", "current", "previous", "diff_type").alias("value"))
+    head.unionByName(lines).coalesce(1).sortWithinPartitions("part").select("value").write.mode("overwrite").text(path)

@@ -38,49 +38,68 @@ def cosine(a, b):
     return F.try_divide(dot, norm(a) * norm(b))
 
 
+PART = 2_000_000  #: numbers of the queries that go to the workers at a time: 16 MB
+TILE = 1024  #: queries that are compared with a batch of items at a time
+
+
+def _best(s: np.ndarray, ids: np.ndarray, top_s: np.ndarray, top_i: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The k best of each row of some similarities and those held so far; ties by id."""
+    s = np.concatenate([top_s, s], axis=1)
+    i = np.concatenate([top_i, np.broadcast_to(ids, (len(s), len(ids)))], axis=1)
+    if s.shape[1] > 4 * k:  # all that is as good as the k-th, then sorted
+        least = np.round(np.partition(s, s.shape[1] - k, axis=1)[:, s.shape[1] - k], 9) - 1e-9
+        most = int((s >= least[:, None]).sum(axis=1).max())
+        at = np.argpartition(-s, min(most, s.shape[1] - 1), axis=1)[:, : max(most, k)]
+        s, i = np.take_along_axis(s, at, 1), np.take_along_axis(i, at, 1)
+    order = np.lexsort((i, -np.round(s, 9)), axis=1)[:, :k]
+    return np.take_along_axis(s, order, 1), np.take_along_axis(i, order, 1)
+
+
 def nearest(items: DataFrame, queries: DataFrame, k: int, item: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """query, item, similarity of the k most similar items of every query, exactly.
+    """query, item, similarity, rank of the k most similar items of every query, exactly, whatever the type of ids; an
+    item isn't compared with itself, and vectors that are null or zero are similar to nothing.
 
-    Items are compared where they lie, in matrix products; every task keeps its own k best of each query, so the only
-    exchange moves k rows per query and task. Queries go to the workers in parts of bounded size."""
+    Meant for a stated set of queries against all items: items are compared where they lie, in tiles of matrix products,
+    and every task keeps its own k best of each query, so the only exchange moves k rows a query and task. Queries are
+    cut by a hash into parts of about ``PART`` numbers; each part is one bounded broadcast and one pass over the items."""
     spark = items.sparkSession
-    dims = items.select(F.size(vector)).first()
-    part_rows = max(1, 8_000_000 // max(1, int(dims[0]) if dims and dims[0] else 1))
-    ids = queries.select(F.col(item).alias("query"), F.col(vector).cast("array<double>").alias("v")).where("v is not null")
-    n = ids.count()
-    parts = max(1, -(-n // part_rows))
+    kind = items.schema[item].dataType.simpleString()
+    ids = queries.select(F.col(item).alias("query"), F.col(vector).cast("array<double>").alias("v")).where("v is not null and query is not null")
+    size = ids.agg(F.count("*").alias("n"), F.max(F.size("v")).alias("d")).first()
+    parts = max(1, -(-int(size["n"]) * int(size["d"] or 1) // PART))
     best = None
     for p in range(parts):
-        got = ids.where(F.pmod(F.xxhash64("query"), F.lit(parts)) == p).toPandas()
+        got = ids.where(F.pmod(F.xxhash64("query"), F.lit(parts)) == p).toPandas()  # about PART numbers
         if not len(got):
             continue
         q = np.stack(got["v"].to_numpy()).astype(np.float64)
         norm = np.linalg.norm(q, axis=1, keepdims=True)
-        held = spark.sparkContext.broadcast((got["query"].to_numpy(), q / np.where(norm > 0, norm, 1)))
+        held = spark.sparkContext.broadcast((got["query"].to_numpy(), q / np.where(norm > 0, norm, 1), (norm > 0)[:, 0]))
 
         def run(frames, held=held):
-            names, qs = held.value
-            top_s = np.full((len(names), 0), -np.inf)
-            top_i = np.zeros((len(names), 0), np.int64)
+            names, qs, some = held.value
+            names = names.astype(str) if names.dtype == object else names
+            tops = [(np.full((len(names[a : a + TILE]), 0), -np.inf), np.zeros((len(names[a : a + TILE]), 0), names.dtype)) for a in range(0, len(names), TILE)]
             for f in frames:
-                f = f[f["v"].notna()]
+                f = f[f["v"].notna() & f["i"].notna()]
                 if not len(f):
                     continue
                 x = np.stack(f["v"].to_numpy()).astype(np.float64)
-                size = np.linalg.norm(x, axis=1, keepdims=True)
-                s = np.where(size.T > 0, qs @ (x / np.where(size > 0, size, 1)).T, -np.inf)
-                own = f["i"].to_numpy(np.int64)
-                s[names[:, None] == own[None, :]] = -np.inf
-                s = np.concatenate([top_s, s], axis=1)
-                i = np.concatenate([top_i, np.broadcast_to(own, (len(names), len(own)))], axis=1)
-                order = np.lexsort((i, -np.round(s, 9)), axis=1)[:, :k]
-                top_s, top_i = np.take_along_axis(s, order, 1), np.take_along_axis(i, order, 1)
-            ok = np.isfinite(top_s)
-            yield pd.DataFrame({"query": np.repeat(names, ok.sum(1)), "item": top_i[ok], "similarity": top_s[ok]})
-
-        part = items.select(F.col(item).cast("bigint").alias("i"), F.col(vector).cast("array<double>").alias("v")).mapInPandas(run, "query bigint, item bigint, similarity double")
+                length = np.linalg.norm(x, axis=1, keepdims=True)
+                x, own = x / np.where(length > 0, length, 1), f["i"].to_numpy().astype(str if names.dtype.kind == "U" else names.dtype)
+                for t, a in enumerate(range(0, len(names), TILE)):
+                    s = qs[a : a + TILE] @ x.T
+                    s[:, length[:, 0] == 0] = -np.inf
+                    s[~some[a : a + TILE]] = -np.inf
+                    s[names[a : a + TILE, None] == own[None, :]] = -np.inf
+                    tops[t] = _best(s, own, *tops[t], k)
+            for t, a in enumerate(range(0, len(names), TILE)):
+                ok = np.isfinite(tops[t][0])
+                yield pd.DataFrame({"query": np.repeat(names[a : a + TILE], ok.sum(1)), "item": tops[t][1][ok], "similarity": tops[t][0][ok]})
+
+        part = items.select(F.col(item).alias("i"), F.col(vector).cast("array<double>").alias("v")).mapInPandas(run, f"query {kind}, item {kind}, similarity double")
         best = part if best is None else best.unionByName(part)
     if best is None:
-        return items.select(F.col(item).cast("bigint").alias("query"), F.col(item).cast("bigint").alias("item"), F.lit(0.0).alias("similarity"), F.lit(1).alias("rank")).where("false")
+        return items.select(F.col(item).alias("query"), F.col(item).alias("item"), F.lit(0.0).alias("similarity"), F.lit(1).alias("rank")).where("false")
     w = Window.partitionBy("query").orderBy(F.desc(F.round("similarity", 9)), "item")
     return best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

@@ -98,7 +98,7 @@ def read_mcf(spark: SparkSession, path: str, resolved: bool = True, whole_files:
 
 def to_mcf(pv: DataFrame) -> DataFrame:
     """node_id, text of each node, its properties sorted; texts quoted, references prefixed."""
-    value = F.when(F.col("type") == "TEXT", F.concat(F.lit('"'), F.regexp_replace("value", '"', '\\\\\\\\"'), F.lit('"'))).when(F.col("type") == "RESOLVED_REF", F.concat(F.lit("dcid:"), F.col("value"))).otherwise(F.col("value"))
+    value = F.when(F.col("type") == "TEXT", F.concat(F.lit('"'), F.regexp_replace("value", '"', '\\\\"'), F.lit('"'))).when(F.col("type") == "RESOLVED_REF", F.concat(F.lit("dcid:"), F.col("value"))).otherwise(F.col("value"))
     lines = pv.where("value is not null").groupBy("node_id", "prop").agg(F.array_join(F.array_sort(F.collect_set(value)), ", ").alias("v"))
     line = F.concat("prop", F.lit(": "), "v")
     return lines.groupBy("node_id").agg(F.array_join(F.array_sort(F.collect_list(line)), "\n").alias("body")).select("node_id", F.concat(F.lit("Node: dcid:"), "node_id", F.lit("\n"), "body").alias("text"))
