@@ -42,6 +42,7 @@ _B = _rng.integers(0, 1 << 32, BITS, dtype=np.uint32)
 _ROWS = 1 << 11
 GROUP = 8192  #: unlike signatures that a routed group holds on average at most
 MAX_ROUTES = 2048
+HOT = 200_000  #: rows of a routed group that one task holds
 _HEAVY = 4096  #: pairs of a bucket from which on it is linked by link_all()
 
 
@@ -265,7 +266,10 @@ def _groups(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         if rows < 20_000:
             continue
         x = pd.concat(held, ignore_index=True) if len(held) > 1 else f
-        cutoff = int(np.searchsorted(x["route"].to_numpy(), x["route"].iloc[-1], "left"))
+        last = x["route"].to_numpy() == x["route"].iloc[-1]
+        if "part" in x:
+            last &= x["part"].to_numpy() == x["part"].iloc[-1]
+        cutoff = int(last.argmax())
         if cutoff:
             yield x.iloc[:cutoff].reset_index(drop=True)
             x = x.iloc[cutoff:].reset_index(drop=True)
@@ -285,6 +289,11 @@ def _pairs_of(x: pd.DataFrame, layout: list[Route], r: int, distance: int, every
         rows = np.flatnonzero(place == where)
         s, ids = sig[rows], rep[rows]
         _, group = np.unique(route[rows], return_inverse=True)
+        block = part = None
+        if "part" in x:  # groups within groups
+            block, part = x["block"].to_numpy()[rows], x["part"].to_numpy()[rows]
+            _, group = np.unique(np.stack([group, part]), axis=1, return_inverse=True)
+            group = group.ravel()
         rest, width = _joined(s, layout[where].left)
         key = (group.astype(np.uint64) << np.uint64(width)) | rest
         parent = np.arange(len(rows))
@@ -303,6 +312,9 @@ def _pairs_of(x: pd.DataFrame, layout: list[Route], r: int, distance: int, every
             d = hamming(s[i], s[j])
             ok = d <= distance
             i, j, d = i[ok], j[ok], d[ok]
+            if every and block is not None:  # two blocks meet in one part, a block itself in one of its parts
+                here = (np.minimum(block[i], block[j]).astype(np.int64) << 31 | np.maximum(block[i], block[j])) == part[i]
+                i, j, d = i[here], j[here], d[here]
             if not len(i):
                 continue
             if every:
@@ -349,10 +361,37 @@ def _first_meeting(x: np.ndarray, y: np.ndarray, layout: list[Route], r: int) ->
     return out
 
 
-def hamming_pairs(sigs: DataFrame, distance: int = DISTANCE, chunks: int = CHUNKS, every: bool = True, pieces: int = 0) -> DataFrame:
+def _sizes(layout: list[Route]):
+    @tokens.tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in tokens.cut(whole, 10_000):
+                sig = _unpack(batch.column(0))
+                for k, route in enumerate(layout):
+                    key, n = np.unique((np.uint64(k << 40) | _joined(sig, route.kept)[0]).astype(np.int64), return_counts=True)
+                    yield pa.record_batch([pa.array(key), pa.array(n)], names=["route", "n"])
+
+    return run
+
+
+def _split(routed: DataFrame, sigs: DataFrame, layout: list[Route], hot: int) -> DataFrame:
+    """Routed rows, those of groups of more than ``hot`` rows in blocks of about that size: every two blocks meet in a
+    part of their own, so no task holds more than two blocks, whatever share of all rows a group has."""
+    n = sigs.select("sig").mapInArrow(_sizes(layout), "route bigint, n bigint").groupBy("route").agg(F.sum("n").alias("n")).where(F.col("n") > hot)
+    large = util.saved(n.select("route", F.ceil(F.col("n") / hot).cast("int").alias("blocks")), "hot")
+    if large.isEmpty():
+        return routed.repartition("route").sortWithinPartitions("route")
+    out = routed.join(large, "route", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    out = out.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    part = F.shiftleft(F.least("block", "other").cast("bigint"), 31).bitwiseOR(F.greatest("block", "other").cast("bigint"))
+    return out.select("route", "rep", "sig", part.alias("part"), "block").repartition("route", "part").sortWithinPartitions("route", "part")
+
+
+def hamming_pairs(sigs: DataFrame, distance: int = DISTANCE, chunks: int = CHUNKS, every: bool = True, pieces: int = 0, hot: int = HOT) -> DataFrame:
     """All pairs a < b of rows (rep BIGINT, sig BINARY) within ``distance`` bits, each once, with their distance; with
     ``every`` false only pairs that connect what all of them connect, some perhaps more than once. More ``pieces`` make
-    finer groups and more routes, with the same pairs; 0 is the least number."""
+    finer groups and more routes, with the same pairs; 0 is the least number. Groups beyond ``hot`` rows are cut into
+    blocks that meet two at a time."""
     if not 8 <= chunks <= 256:
         raise ValueError("chunks must be from 8 to 256, so that a chunk's bits and its group fit one integer")
     util.make_importable(sigs.sparkSession)
@@ -364,7 +403,7 @@ def hamming_pairs(sigs: DataFrame, distance: int = DISTANCE, chunks: int = CHUNK
         for x in _groups(frames):
             yield from _pairs_of(x, layout, r, distance, every)
 
-    return routed.repartition("route").sortWithinPartitions("route").mapInPandas(run, "a bigint, b bigint, distance bigint")
+    return _split(routed, sigs, layout, hot).mapInPandas(run, "a bigint, b bigint, distance bigint")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -23,6 +23,26 @@ def test_finer_routes_find_every_pair_once(spark, distance, chunks, pieces):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+@pytest.mark.parametrize("hot", [7, 40])
+def test_hot_groups_are_cut_and_lose_nothing(spark, hot):
+    rng = np.random.default_rng(12)
+    base = rng.integers(0, 2, (2, 256), dtype=np.uint8)
+    bits = np.array([np.where(rng.random(256) < 0.04, 1 - base[i % 2], base[i % 2]) for i in range(120)])
+    df = spark.createDataFrame([(i, bytearray(np.packbits(x).tobytes())) for i, x in enumerate(bits)], "rep bigint, sig binary")
+    want = {(i, j, int(d)) for i in range(120) for j in range(i + 1, 120) if (d := (bits[i] != bits[j]).sum()) <= 23}
+    got = [tuple(r) for r in neardup.hamming_pairs(df, hot=hot).collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    root = list(range(120))
+    for a, b, _ in neardup.hamming_pairs(df, every=False, hot=hot).collect():
+        a, b = root[a], root[b]
+        root = [min(a, b) if r in (a, b) else r for r in root]
+    truth = list(range(120))
+    for a, b, _ in sorted(want):
+        a, b = truth[a], truth[b]
+        truth = [min(a, b) if r in (a, b) else r for r in truth]
+    assert root == truth
+
+
 def test_routes_follow_the_number_of_signatures():
     few, many = neardup._pieces(200_000, 12, 23), neardup._pieces(10**9, 12, 23)
     assert few == 2 and many > few
