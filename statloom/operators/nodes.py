@@ -71,6 +71,13 @@ def complex_value(v: Column) -> Column:
     return F.when(enclosed & (n == 2) & is_number(a), quantity).when(enclosed & (n == 3) & is_place & lat.isNotNull() & lng.isNotNull(), place).when(enclosed & (n == 3) & ~is_place & good, span)
 
 
+def with_complex_ids(pv: DataFrame) -> DataFrame:
+    """``MCF_PV`` rows in which complex values are references to their nodes; those that can't be read stay."""
+    c = pv.where("type = 'COMPLEX_VALUE'").withColumn("c", complex_value(F.col("value"))["id"])
+    done = c.select("node_id", "prop", "pos", F.when(F.col("c").isNull(), F.col("type")).otherwise("RESOLVED_REF").alias("type"), F.coalesce("c", "value").alias("value"))
+    return pv.where("type is distinct from 'COMPLEX_VALUE'").select("node_id", "prop", "pos", "type", "value").unionByName(done)
+
+
 def complex_nodes(pv: DataFrame) -> DataFrame:
     """``MCF_PV`` rows of the nodes that complex values stand for."""
     c = pv.where("type = 'COMPLEX_VALUE'").select(complex_value(F.col("value")).alias("c")).where("c is not null").select("c.*").dropDuplicates(["id"])
@@ -112,78 +119,96 @@ def format_token(x: Column) -> Column:
 OFTEN = ["daily", "weekly", "monthly", "quarterly", "annual"]
 
 
-def variable_name(overrides: dict[str, str] | None = None) -> Column:
-    """Display name: prefixes, measure and population, qualifiers, constraints, denominator."""
+def with_variable_name(nodes: DataFrame, overrides: dict[str, str] | None = None) -> DataFrame:
+    """Adds variable_name: prefixes, measure and population, qualifiers, constraints, denominator. Step by step, so that
+    no part is worked out twice."""
     overrides = {"Count of Person": "Population"} if overrides is None else overrides
-    st = first_of("statType")
+    out = nodes.withColumns({
+        "nm_st": first_of("statType"), "nm_d": first_of("measurementDenominator"), "nm_mp": first_of("measuredProperty"), "nm_pt": first_of("populationType"),
+        "nm_q": F.filter(F.flatten(F.transform(values_of("measurementQualifier"), lambda q: F.split(q, r"[,\s&]+"))), lambda x: x != ""), "nm_c": F.filter("pvs", lambda x: ~x["prop"].isin(NOT_CONSTRAINTS)),
+    })
+    st = F.col("nm_st")
     plain = (st == "") | F.lower(st).isin("measuredvalue", "dcid:measuredvalue")
-    stem = F.when((F.length(st) > 5) & F.lower(st).endswith("value") & (st.endswith("Value") | st.endswith("value")), F.substring(st, F.lit(1), F.length(st) - 5)).otherwise(st)
-    quals = F.filter(F.flatten(F.transform(values_of("measurementQualifier"), lambda q: F.split(q, r"[,\s&]+"))), lambda x: x != "")
-    often = F.transform(F.filter(quals, lambda q: F.lower(q).isin(OFTEN)), format_token)
-    rest = F.transform(F.filter(quals, lambda q: ~F.lower(q).isin(OFTEN)), format_token)
-    prefix = F.concat(F.when(plain, F.array().cast("array<string>")).otherwise(F.array(format_token(stem))), often)
-    m, p = format_token(first_of("measuredProperty")), format_token(first_of("populationType"))
-    generic = F.lower(p).isin("", "thing")
+    stem = F.when((F.length(st) > 5) & (st.endswith("Value") | st.endswith("value")), F.substring(st, F.lit(1), F.length(st) - 5)).otherwise(st)
+    value = lambda x: F.lower(x["value"])
+    shown = lambda x: F.concat(format_token(F.when(value(x).isin("true", "false"), x["prop"]).otherwise(x["value"])), F.when(value(x) == "false", " (False)").otherwise(""))
+    d = F.col("nm_d")
+    parts = F.array_join(F.transform(F.filter(F.split(d, "_"), lambda x: F.trim(x) != ""), format_token), " ")
+    out = out.withColumns({
+        "nm_first": F.when(plain, F.array().cast("array<string>")).otherwise(F.array(format_token(stem))), "nm_often": F.transform(F.filter("nm_q", lambda q: F.lower(q).isin(OFTEN)), format_token), "nm_rest": F.transform(F.filter("nm_q", lambda q: ~F.lower(q).isin(OFTEN)), format_token),
+        "nm_m": format_token(F.col("nm_mp")), "nm_p": format_token(F.col("nm_pt")), "nm_held": F.filter(F.transform("nm_c", shown), lambda x: x != ""),
+        "nm_of": F.when(d == "", "").when(F.lower(d).isin("count_person", "person"), "(Per capita)").otherwise(F.concat(F.lit("(As fraction of "), parts, F.lit(")"))),
+    })
+    m, p = F.col("nm_m"), F.col("nm_p")
     lm, lp = F.lower(m), F.lower(p)
-    both = F.when(generic, m).when(m == "", p).when(~lm.contains(lp) & ~lp.contains(lm), F.concat(m, F.lit(" of "), p)).when(lp.contains(lm) & (lp != lm), p).otherwise(m)
+    both = F.when(lp.isin("", "thing"), m).when(m == "", p).when(~lm.contains(lp) & ~lp.contains(lm), F.concat(m, F.lit(" of "), p)).when(lp.contains(lm) & (lp != lm), p).otherwise(m)
+    out = out.withColumn("nm_both", both)
+    both = F.col("nm_both")
     for a, b in overrides.items():
-        both = F.when(both == a, b).otherwise(both)
-    mine = F.filter("pvs", lambda x: ~x["prop"].isin(NOT_CONSTRAINTS))
-    held = F.filter(F.transform(mine, lambda x: F.when(F.lower(x["value"]) == "true", format_token(x["prop"])).when(F.lower(x["value"]) == "false", F.concat(format_token(x["prop"]), F.lit(" (False)"))).otherwise(format_token(x["value"]))), lambda x: x != "")
-    qualifier = F.when(F.size(rest) > 0, F.concat(F.lit("("), F.array_join(rest, " & "), F.lit(")"))).otherwise("")
-    base = F.array_join(F.filter(F.array(F.array_join(prefix, " "), both, qualifier), lambda x: x != ""), " ")
-    d = first_of("measurementDenominator")
-    parts = F.array_join(F.transform(F.filter(F.split(d, "_"), lambda x: F.trim(x) != ""), format_token), " ")
-    denominator = F.when(d == "", "").when(F.lower(d).isin("count_person", "person"), "(Per capita)").otherwise(F.concat(F.lit("(As fraction of "), parts, F.lit(")")))
-    named = F.array_join(F.filter(F.array(base, F.array_join(held, ", ")), lambda x: x != ""), ": ")
-    return F.trim(F.array_join(F.filter(F.array(named, denominator), lambda x: x != ""), " "))
+        both = F.when(F.col("nm_both") == a, b).otherwise(both)
+    rest = F.when(F.size("nm_rest") > 0, F.concat(F.lit("("), F.array_join("nm_rest", " & "), F.lit(")"))).otherwise("")
+    joined = lambda xs, by: F.array_join(F.filter(F.array(*xs), lambda x: x != ""), by)
+    out = out.withColumn("nm_base", joined([F.array_join(F.concat("nm_first", "nm_often"), " "), both, rest], " "))
+    out = out.withColumn("nm_named", joined([F.col("nm_base"), F.array_join("nm_held", ", ")], ": "))
+    out = out.withColumn("variable_name", F.trim(joined([F.col("nm_named"), F.col("nm_of")], " ")))
+    return out.drop(*[c for c in out.columns if c.startswith("nm_")])
 
 
 def mutate(pv: DataFrame, base: bool = True) -> DataFrame:
     """``MCF_PV`` rows with complex values as references and their nodes added, values of old observations without
     blanks, commas and percent signs, and for variables their sorted constraintProperties, a definition (in the base
     graph) and a name, where they have none."""
-    types = gathered(pv).select("node_id", F.exists(values_of("typeOf"), lambda t: t.endswith("Observation") & ~t.contains("StatVar")).alias("old"), F.exists(values_of("typeOf"), lambda t: t == "StatisticalVariable").alias("is_sv"), "pvs")
-    c = complex_value(F.col("x.value"))
-    rows = types.select("node_id", "old", F.explode("pvs").alias("x"))
-    ref = (F.col("x.type") == "COMPLEX_VALUE") & c.isNotNull()
-    is_value = F.col("x.prop").rlike("(?i)value$|^(value|growthRate|stdError|sampleSize|marginOfError|percentile[0-9]+)$")
-    value = F.when(ref, c["id"]).when(F.col("old") & is_value, F.regexp_replace("x.value", "[ ,%]", "")).otherwise(F.col("x.value"))
-    changed = rows.select("node_id", "x.prop", "x.pos", F.when(ref, "RESOLVED_REF").otherwise(F.col("x.type")).alias("type"), value.alias("value"))
-    sv = gathered(changed.join(types.where("is_sv").select("node_id"), "node_id", "left_semi"))
+    rows = pv.where("value is not null")
+    kinds = rows.where("prop = 'typeOf'").groupBy("node_id").agg(F.max(F.col("value").endswith("Observation") & ~F.col("value").contains("StatVar")).alias("old"), F.max(F.col("value") == "StatisticalVariable").alias("is_sv"))
+    is_value = F.col("prop").rlike("(?i)value$|^(value|growthRate|stdError|sampleSize|marginOfError|percentile[0-9]+)$")
+    changed = with_complex_ids(rows).join(kinds, "node_id", "left")
+    changed = changed.withColumn("value", F.when(F.coalesce("old", F.lit(False)) & is_value, F.regexp_replace("value", "[ ,%]", "")).otherwise(F.col("value")))
+    sv = with_variable_name(gathered(changed.where("is_sv").select("node_id", "prop", "pos", "type", "value"))).withColumns({"own": constraints(), "has_definition": first_of("definition") != "", "has_name": first_of("name") != ""})
+    text = lambda p, v: F.struct(F.lit(p).alias("prop"), F.lit(0).alias("pos"), F.lit("TEXT").alias("type"), v.alias("value"))
     added = F.concat(
-        F.transform(constraints(), lambda p, i: F.struct(F.lit("constraintProperties").alias("prop"), i.alias("pos"), F.lit("RESOLVED_REF").alias("type"), p.alias("value"))),
-        F.array(F.struct(F.lit("definition").alias("prop"), F.lit(0).alias("pos"), F.lit("TEXT").alias("type"), F.when((first_of("definition") == "") & F.lit(base), definition()).alias("value"))),
-        F.array(F.struct(F.lit("name").alias("prop"), F.lit(0).alias("pos"), F.lit("TEXT").alias("type"), F.when(first_of("name") == "", variable_name()).alias("value"))),
+        F.transform("own", lambda p, i: F.struct(F.lit("constraintProperties").alias("prop"), i.alias("pos"), F.lit("RESOLVED_REF").alias("type"), p.alias("value"))),
+        F.array(text("definition", F.when(~F.col("has_definition") & F.lit(base), definition()))), F.array(text("name", F.when(~F.col("has_name"), F.col("variable_name")))),
     )
     new = sv.select("node_id", F.explode(added).alias("x")).select("node_id", "x.*").where("value <> ''")
-    kept = changed.join(sv.where(F.size(constraints()) > 0).select("node_id", F.lit("constraintProperties").alias("prop")), ["node_id", "prop"], "left_anti")
+    # given constraintProperties make way for the sorted ones
+    mine = ~((F.col("prop") == "constraintProperties") & F.coalesce("is_sv", F.lit(False)) & F.coalesce("has_own", F.lit(False)))
+    own = F.max(~F.col("prop").isin(NOT_CONSTRAINTS)).alias("has_own")
+    kept = changed.join(rows.groupBy("node_id").agg(own), "node_id").where(mine)
     return kept.select("node_id", "prop", "pos", "type", "value").unionByName(new).unionByName(complex_nodes(pv))
 
 
 # ids
-def _one(p: str) -> Column:
-    """The only value of a property, null where there are several or none; a complex value by its id."""
-    rows = F.filter("pvs", lambda x: x["prop"] == p)
-    x = F.get(rows, F.lit(0))
-    return F.when(F.size(rows) == 1, F.when(x["type"] == "COMPLEX_VALUE", complex_value(x["value"])["id"]).otherwise(x["value"]))
+def _by_prop() -> Column:
+    """Values by property. The ids below look them up here instead of searching the node again and again."""
+    props = F.array_distinct(F.transform("pvs", lambda x: x["prop"]))
+    return F.map_from_entries(F.transform(props, lambda p: F.struct(p, F.transform(F.filter("pvs", lambda x: x["prop"] == p), lambda x: x["value"]))))
+
+
+def _all(p: str) -> Column:
+    return F.try_element_at(F.col("by_prop"), F.lit(p))
+
+
+def _first(p: str) -> Column:
+    return F.coalesce(F.get(_all(p), F.lit(0)), F.lit(""))
+
+
+def _n(p: str) -> Column:
+    return F.greatest(F.coalesce(F.size(_all(p)), F.lit(0)), F.lit(0))
 
 
 def variable_key_text() -> Column:
     """``p=v`` of the fixed and constraint properties that have a single value, in order of property."""
-    mine = F.filter("pvs", lambda x: x["prop"].isin(FIXED) | ~x["prop"].isin(NOT_CONSTRAINTS))
-    one = F.filter(mine, lambda x: F.size(F.filter(mine, lambda y: y["prop"] == x["prop"])) == 1)
-    return F.array_join(F.array_sort(F.transform(one, lambda x: F.concat(x["prop"], F.lit("="), F.when(x["type"] == "COMPLEX_VALUE", complex_value(x["value"])["id"]).otherwise(x["value"])))), "")
+    mine = F.filter(F.map_entries("by_prop"), lambda e: (e["key"].isin(FIXED) | ~e["key"].isin(NOT_CONSTRAINTS)) & (F.size(e["value"]) == 1))
+    return F.array_join(F.array_sort(F.transform(mine, lambda e: F.concat(e["key"], F.lit("="), e["value"][0]))), "")
 
 
 def _ordered_key(props: list[str], required: int, refs: list[str]) -> Column:
     parts, bad = [], F.lit(False)
     for i, p in enumerate(props):
-        n = F.size(values_of(p))
-        bad = bad | (n > 1) | (F.lit(i <= required) & (n == 0))
+        bad = bad | (_n(p) > 1 if i > required else _n(p) != 1)
         if p in refs:
-            bad = bad | first_of(p).startswith("l:")
-        parts.append(F.when(n == 1, F.concat(F.lit(f"{p}="), first_of(p))).otherwise(""))
+            bad = bad | _first(p).startswith("l:")
+        parts.append(F.when(_n(p) == 1, F.concat(F.lit(f"{p}="), _first(p))).otherwise(""))
     return F.when(~bad, F.concat(*parts))
 
 
@@ -196,28 +221,35 @@ def old_observation_key_text() -> Column:
 
 
 def population_key_text() -> Column:
-    named = values_of("constraintProperties")
-    mine = F.filter("pvs", lambda x: (x["pos"] == 0) & ~x["prop"].isin(NOT_CONSTRAINTS) & ((F.size(named) == 0) | F.array_contains(named, x["prop"])))
-    own = F.array_sort(F.transform(mine, lambda x: F.concat(x["prop"], F.when(x["type"] == "COMPLEX_VALUE", complex_value(x["value"])["id"]).otherwise(x["value"]))))
-    ok = (first_of("populationType") != "") & (first_of("location") != "") & ~first_of("location").startswith("l:")
-    return F.when(ok, F.concat(first_of("populationType"), first_of("location"), first_of("memberOf"), F.array_join(own, "")))
+    named = F.coalesce(_all("constraintProperties"), F.array().cast("array<string>"))
+    mine = F.filter(F.map_entries("by_prop"), lambda e: ~e["key"].isin(NOT_CONSTRAINTS) & ((F.size(named) == 0) | F.array_contains(named, e["key"])))
+    own = F.array_sort(F.transform(mine, lambda e: F.concat(e["key"], e["value"][0])))
+    ok = (_first("populationType") != "") & (_first("location") != "") & ~_first("location").startswith("l:")
+    return F.when(ok, F.concat(_first("populationType"), _first("location"), _first("memberOf"), F.array_join(own, "")))
 
 
 def place_dcid() -> Column:
     renamed = {"isoCode": "iso", "nutsCode": "nuts"}
-    return F.coalesce(*[F.when(first_of(p) != "", F.concat(F.lit(renamed.get(p, p) + "/"), first_of(p))) for p in PLACE_IDS])
+    return F.coalesce(*[F.when(_first(p) != "", F.concat(F.lit(renamed.get(p, p) + "/"), _first(p))) for p in PLACE_IDS])
 
 
-def with_key(nodes: DataFrame) -> DataFrame:
-    """Adds kind, key_text and dcid (given, generated from the key, or of a place's external id; else null)."""
-    t = first_of("typeOf")
+def keyed(pv: DataFrame) -> DataFrame:
+    """Gathered nodes, complex values by their ids, with kind, key_text and dcid: given, generated from the key, or of
+    a place's external id; else null."""
+    nodes = gathered(with_complex_ids(pv)).withColumn("by_prop", _by_prop())
+    nodes = nodes.withColumns({"first_type": _first("typeOf"), "given_dcid": _first("dcid")})
+    t = F.col("first_type")
     kind = F.when(t == "StatVarObservation", "OBSERVATION").when(t == "StatisticalVariable", "VARIABLE").when(t.endswith("Population"), "POPULATION").when(t.endswith("Observation"), "OLD_OBSERVATION").when(t.isin(PLACES), "PLACE").otherwise("OTHER")
     out = nodes.withColumn("kind", kind)
-    text = F.when(F.col("kind") == "OBSERVATION", observation_key_text()).when(F.col("kind") == "VARIABLE", variable_key_text()).when(F.col("kind") == "POPULATION", population_key_text()).when(F.col("kind") == "OLD_OBSERVATION", old_observation_key_text())
-    out = out.withColumn("key_text", text)
-    name = F.element_at(F.create_map(*[F.lit(x) for x in ("OBSERVATION", "dc/o/", "VARIABLE", "dc/", "POPULATION", "dc/p/", "OLD_OBSERVATION", "dc/o/")]), F.col("kind"))
-    made = F.concat(name, F.substring(generated_id("key_text"), 4, 100))
-    return out.withColumn("dcid", F.when(first_of("dcid") != "", first_of("dcid")).when(F.col("key_text").isNotNull(), made).when(F.col("kind") == "PLACE", place_dcid()))
+    of = {"OBSERVATION": observation_key_text(), "VARIABLE": variable_key_text(), "POPULATION": population_key_text(), "OLD_OBSERVATION": old_observation_key_text()}
+    text = F.lit(None).cast("string")
+    for name, key in of.items():
+        text = F.when(F.col("kind") == name, key).otherwise(text)
+    out = out.withColumn("key_text", text).withColumn("hashed", generated_id("key_text"))
+    name = F.element_at(F.create_map(*[F.lit(x) for x in ("OBSERVATION", "dc/o/", "VARIABLE", "dc/", "POPULATION", "dc/p/", "OLD_OBSERVATION", "dc/o/", "PLACE", "", "OTHER", "")]), F.col("kind"))
+    made = F.concat(name, F.substring("hashed", 4, 100))
+    dcid = F.when(F.col("given_dcid") != "", F.col("given_dcid")).when(F.col("key_text").isNotNull(), made).when(F.col("kind") == "PLACE", place_dcid())
+    return out.withColumn("dcid", dcid).drop("by_prop", "first_type", "hashed")
 
 
 # resolution
@@ -231,11 +263,10 @@ def resolve_local(pv: DataFrame, rounds: int = 50) -> tuple[DataFrame, DataFrame
     failed = None
     for _ in range(rounds):
         local = F.col("type").isin("UNRESOLVED_REF") & F.col("value").startswith("l:")
-        nodes = gathered(current)
         open_ = F.exists("pvs", lambda x: (x["type"] == "UNRESOLVED_REF") & x["value"].startswith("l:"))
-        keyed = with_key(nodes).withColumn("open", open_)
+        known_ids = keyed(current).withColumns({"open": open_, "given": F.col("given_dcid") != ""})
         strict = F.col("kind").isin("OBSERVATION", "POPULATION", "OLD_OBSERVATION")
-        ids = saved(keyed.select("node_id", F.when(~(F.col("open") & strict) | (first_of("dcid") != ""), F.col("dcid")).alias("id"), (first_of("dcid") != "").alias("had"), "open", "key_text"), "ids")
+        ids = saved(known_ids.select("node_id", F.when(~(F.col("open") & strict) | F.col("given"), F.col("dcid")).alias("id"), F.col("given").alias("had"), "open", "key_text"), "ids")
         refs = current.where(local).select(F.col("node_id").alias("src"), F.col("value").alias("ref")).distinct()
         # a node that has no id now and nothing open can't get one later
         dead = ids.where("id is null and not open").select("node_id", F.lit("no id can be made").alias("error"))

@@ -246,7 +246,7 @@ def id_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = _pv(c, _key("l:p", "c_custkey"), _v("typeOf", REF, "StatisticalPopulation"), _v("populationType", REF, "Person"), _v("location", REF, _key("customer/", "c_custkey")), _v("segment", REF, F.col("c_mktsegment")), _v("other", REF, "x"), _v("constraintProperties", REF, "segment"))
     b = _pv(c, _key("l:b", "c_custkey"), _v("typeOf", REF, "Observation"), _v("observedNode", "UNRESOLVED_REF", _key("l:p", "c_custkey")), _v("observationDate", TEXT, "2020"), _v("measuredProperty", REF, "count"), _v("measuredValue", NUMBER, F.col("c_custkey")))
     every = _sv_pv(spark, sf_dir).unionByName(order_pv(spark, sf_dir)).unionByName(p).unionByName(b)
-    keyed = nodes.with_key(construct.gathered(every))
+    keyed = nodes.keyed(every)
     short = F.element_at(F.create_map(*[F.lit(x) for x in ("VARIABLE", "v", "OBSERVATION", "o", "POPULATION", "p", "OLD_OBSERVATION", "b")]), F.col("kind"))
     return keyed.select(short.alias("kind"), "node_id", "key_text")
 
@@ -255,7 +255,7 @@ def id_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 def place_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     c, k = star.table(spark, sf_dir, "customer"), F.col("c_custkey") % 3
     pv = _pv(c, _key("l:c", "c_custkey"), _v("typeOf", REF, "City"), F.when(k == 0, _v("geoId", TEXT, _key("g", "c_custkey"))), F.when(k == 1, _v("isoCode", TEXT, _key("i", "c_custkey"))), _v("wikidataId", TEXT, _key("Q", "c_custkey")))
-    return nodes.with_key(construct.gathered(pv)).select("node_id", "dcid")
+    return nodes.keyed(pv).select("node_id", "dcid")
 
 
 def _local_pv(spark: SparkSession, sf_dir: str) -> DataFrame:

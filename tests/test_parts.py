@@ -65,12 +65,12 @@ def test_names_of_variables(spark):
 
     rows = sv(0, measuredProperty="count", populationType="Person", gender="Female", age="Years15To24") + sv(1, measuredProperty="income", populationType="Household", statType="medianValue", measurementDenominator="Count_Person")
     rows += sv(2, measuredProperty="precipitation", populationType="Thing", measurementQualifier="Daily, Observed & Raw", isX="false") + sv(3, measuredProperty="area", populationType="AreaOfLand", measurementDenominator="Count_Household")
-    got = {r["node_id"]: r["n"] for r in construct.gathered(pv(spark, rows)).select("node_id", nodes.variable_name().alias("n")).collect()}
+    got = {r["node_id"]: r["n"] for r in nodes.with_variable_name(construct.gathered(pv(spark, rows))).select("node_id", F.col("variable_name").alias("n")).collect()}
     assert got == {"v0": "Population: Years 15 To 24, Female", "v1": "Median Income of Household (Per capita)", "v2": "Daily Precipitation (Observed & Raw): Is X (False)", "v3": "Area Of Land (As fraction of Count Household)"}
 
 
 def test_generated_ids(spark):
-    got = nodes.with_key(construct.gathered(pv(spark, [("x", "typeOf", 0, "RESOLVED_REF", "StatisticalVariable"), ("x", "populationType", 0, "RESOLVED_REF", "Person")]))).first()
+    got = nodes.keyed(pv(spark, [("x", "typeOf", 0, "RESOLVED_REF", "StatisticalVariable"), ("x", "populationType", 0, "RESOLVED_REF", "Person")])).first()
     assert got["key_text"] == "populationType=PersontypeOf=StatisticalVariable" and got["dcid"].startswith("dc/") and len(got["dcid"]) <= 16
 
 
