@@ -92,8 +92,7 @@ def parse_text(blocks: DataFrame, column: str = "value", resolved: bool = True)
 def read_mcf(spark: SparkSession, path: str, resolved: bool = True, whole_files: bool = False) -> DataFrame:
     """Nodes are separated by empty lines, so that a file is read in parallel; ``whole_files`` for files in which a
     separating line isn't quite empty."""
-    reader = spark.read.option("wholetext", "true") if whole_files else spark.read.option("lineSep", "\n\n")
-    return parse_text(reader.text(path), resolved=resolved)
+    return parse_text(spark.read.text(path, wholetext=True) if whole_files else spark.read.text(path, lineSep="\n\n"), resolved=resolved)
 
 
 def to_mcf(pv: DataFrame) -> DataFrame:
@@ -303,5 +302,5 @@ def read_graph(spark: SparkSession, path: str) -> DataFrame:
         said += [F.struct(F.lit(p).alias("prop"), F.lit("TEXT").alias("type"), F.col(c).alias("value")) for p, c in (("observationDate", "date"), ("value", "value"), ("provenanceUrl", "provenance_url"))]
         return one.select("node_id", F.explode(F.array(*said)).alias("x")).where("x.value <> ''").select("node_id", "x.prop", F.lit(0).alias("pos"), "x.type", "x.value")
     if ".jsonld" in path:
-        return parse_jsonld(spark.read.option("wholetext", "true").text(path))
+        return parse_jsonld(spark.read.text(path, wholetext=True))
     return read_mcf(spark, path)

@@ -128,10 +128,10 @@ def test_texts_are_written_and_read_again(spark, tmp_path):
     rows = pv(spark, [("a", "typeOf", 0, "RESOLVED_REF", "T"), ("a", "name", 0, "TEXT", 'x "y"'), ("b", "typeOf", 0, "RESOLVED_REF", "T")])
     sinks.write_pair(mcf.to_mcf(rows), spark.createDataFrame([("b", "bad")], "node_id string, error string"), str(tmp_path / "m"))
     assert {tuple(r) for r in mcf.read_mcf(spark, str(tmp_path / "m" / "resolved")).select("node_id", "prop", "value").collect()} == {("a", "typeOf", "T"), ("a", "name", 'x "y"')}
-    assert "# bad" in spark.read.option("wholetext", "true").text(str(tmp_path / "m" / "failed")).first()[0]
+    assert "# bad" in spark.read.text(str(tmp_path / "m" / "failed"), wholetext=True).first()[0]
     flat = spark.createDataFrame([(f"e{i}", "v", "2020", str(i), "p", "", "", "", "", "") for i in range(25)], ", ".join(f"{c} string" for c in importers.FLAT))
     sinks.write_jsonld(sinks.jsonld_observations(flat), str(tmp_path / "j"), 10)
-    back = mcf.parse_jsonld(spark.read.option("wholetext", "true").text(str(tmp_path / "j")))
+    back = mcf.parse_jsonld(spark.read.text(str(tmp_path / "j"), wholetext=True))
     assert back.where("prop = 'value'").count() == 25
     assert "Node: E:observations->E0" in sinks.write_main(flat, mcf.to_mcf(rows), str(tmp_path / "main"))
     assert spark.read.option("header", "true").csv(str(tmp_path / "main" / "observations")).count() == 25
