@@ -38,6 +38,7 @@ WINDOW = 10
 THRESHOLD = 0.8
 MIN_SUPPORT = 3
 COPIED = 2_000_000  #: hashes of texts with copies that are broadcast; beyond that the texts are shuffled
+OWN = 500_000  #: (text, word) pairs to replace that are broadcast; beyond that the texts are shuffled once
 LONGEST = 64  #: bytes of a term that is generalised; longer ones are removed
 MOST_BITS = 27  #: log2 of the bits of a sieve at most: 16 MB
 SIEVE_HASHES = 5
@@ -499,7 +500,8 @@ def _with_terms(docs: DataFrame, threshold: float, min_support: int, key: str, t
     text = keyed.select(F.col(key).alias("key"), F.col("text").cast("string").alias("text")).where("text is not null")
     own = text.mapInArrow(_candidates(sieve), "key bigint, word string").distinct().join(found, F.col("word") == F.col("term"))
     own = util.saved(own.groupBy("key").agg(F.collect_list(F.struct("word", "replacement")).alias(terms)).withColumnRenamed("key", key), "own")
-    return keyed.join(own, key, "left")
+    n_pairs = own.agg(F.sum(F.size(terms))).first()[0] or 0
+    return keyed.join(F.broadcast(own) if n_pairs <= OWN else own, key, "left")
 
 
 def sanitised(docs: DataFrame, threshold: float = THRESHOLD, min_support: int = MIN_SUPPORT) -> DataFrame:
