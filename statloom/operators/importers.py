@@ -17,7 +17,8 @@ from statloom.functions.numbers import is_number, strip_namespace
 
 FLAT = ["entity", "variable", "date", "value", "provenance", "unit", "scaling_factor", "measurement_method", "observation_period", "properties"]
 PROPS = ["unit", "scaling_factor", "measurement_method", "observation_period"]
-NA = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
+#: Cells that stand for a missing value: those of the table reader, and some more.
+NA = ["", "#N/A N/A", *"- nil na none <na> <NA> NA N/A #NA #N/A n/a None NULL null nan NaN -nan -NaN 1.#IND -1.#IND 1.#QNAN -1.#QNAN".split()]
 STANDARD = {
     "observationAbout": "entity", "variableMeasured": "variable", "observationDate": "date", "value": "value", "unit": "unit", "scalingFactor": "scaling_factor", "measurementMethod": "measurement_method", "observationPeriod": "observation_period",
 }

@@ -7,10 +7,11 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-PRIORITY = {
-    "STAT_VAR_GROUPS": 0, "LINKED_EDGES": 1, "PROVENANCE_SUMMARY": 2, "NODE_PROPERTIES": 3, "PLACE_AGGREGATION": 10, "STAT_VAR_AGGREGATION": 11, "ENTITY_AGGREGATION": 12, "STAT_VAR_SERIES_AGGREGATION": 13, "STAT_VAR_CALCULATION": 14,
-    "SUPER_ENUM_AGGREGATION": 15, "EMBEDDING_GENERATION": 20, "MATERIALIZED_EDGES": 20,
-}
+#: Ranks within a stage: what the graph's shape needs, then derived points, then what comes after all.
+_SHAPE = "STAT_VAR_GROUPS LINKED_EDGES PROVENANCE_SUMMARY NODE_PROPERTIES".split()
+_POINTS = "PLACE_AGGREGATION STAT_VAR_AGGREGATION ENTITY_AGGREGATION STAT_VAR_SERIES_AGGREGATION STAT_VAR_CALCULATION SUPER_ENUM_AGGREGATION".split()
+_LAST = "EMBEDDING_GENERATION MATERIALIZED_EDGES".split()
+PRIORITY = {k: i for i, k in enumerate(_SHAPE)} | {k: 10 + i for i, k in enumerate(_POINTS)} | dict.fromkeys(_LAST, 20)
 GLOBAL = {"STAT_VAR_GROUPS", "NODE_PROPERTIES", "EMBEDDING_GENERATION", "MATERIALIZED_EDGES"}
 WORKERS = 10
 
