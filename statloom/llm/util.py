@@ -51,11 +51,11 @@ def new_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/statloom/{tag}-{uuid.uuid4().hex}"
 
 
-def saved(df: DataFrame, tag: str) -> DataFrame:
+def saved(df: DataFrame, tag: str, **options: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
     path = new_path(spark, tag)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
