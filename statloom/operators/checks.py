@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from statloom.functions.numbers import is_boolean, is_number, month_gap, parse_date
+from statloom.plans.storage import tasks
 from statloom.sources.mcf import REFERENCES
 
 SERIES = ["variable", "entity", "extra", "method", "period", "unit", "scaling"]
@@ -92,9 +93,12 @@ def sample_places(points: DataFrame, fine: int = 5, coarse: int = 25) -> DataFra
 
 
 def node_errors(pv: DataFrame) -> DataFrame:
-    """node_id, counter of nodes that break the common rules; ``pv`` as the node parser gives it."""
-    per = pv.groupBy("node_id").agg(
-        F.count_if(F.col("prop") == "typeOf").alias("n_type"), F.count_distinct(F.when(F.col("prop") == "dcid", F.col("value"))).alias("n_dcid"), F.max(F.when(F.col("prop") == "dcid", F.length("value"))).alias("dcid_length"),
+    """node_id, counter of nodes that break the common rules; ``pv`` as the node parser gives it.
+
+    Rows are exchanged before they are gathered by node: what a scan's task makes of a small file can be very much,
+    and gathering there would sort it all at once, while tasks behind an exchange are many."""
+    per = pv.repartition(tasks(pv.sparkSession), "node_id").groupBy("node_id").agg(
+        F.count_if(F.col("prop") == "typeOf").alias("n_type"), F.min(F.when(F.col("prop") == "dcid", F.col("value"))).alias("first_dcid"), F.max(F.when(F.col("prop") == "dcid", F.length("value"))).alias("dcid_length"),
         F.max(F.coalesce((F.col("prop") == "dcid") & ~F.col("value").rlike(r"^[A-Za-z0-9_&/%\-+().~:*]*$"), F.lit(False))).alias("bad_dcid"),
         F.max(~F.col("prop").rlike("^[a-z]")).alias("bad_prop"), F.max((F.col("type") == "RESOLVED_REF") & F.col("value").rlike(r"[^\x00-\x7f]")).alias("wide_ref"), F.max(F.col("type") == "ERROR").alias("unparsed"),
         F.max(F.when(F.col("prop") == "typeOf", F.col("value"))).alias("type"), F.count_if(F.col("prop") == "value").alias("n_value"), F.count_if((F.col("prop") == "observationDate") & parse_date("value").isNotNull()).alias("n_date"),
@@ -106,7 +110,7 @@ def node_errors(pv: DataFrame) -> DataFrame:
     )
     observation = F.coalesce(F.col("type").contains("StatVarObservation"), F.lit(False))
     rules = {
-        "Sanity_MissingTypeOf": F.col("n_type") == 0, "Sanity_MultipleDcid": F.col("n_dcid") > 1, "Sanity_LongDcid": F.col("dcid_length") > 256, "Sanity_InvalidDcid": F.col("bad_dcid"), "Sanity_PropertyCase": F.col("bad_prop"),
+        "Sanity_MissingTypeOf": F.col("n_type") == 0, "Sanity_MultipleDcid": F.col("first_dcid") < F.col("dcid"), "Sanity_LongDcid": F.col("dcid_length") > 256, "Sanity_InvalidDcid": F.col("bad_dcid"), "Sanity_PropertyCase": F.col("bad_prop"),
         "Sanity_NonAsciiReference": F.col("wide_ref"), "Sanity_Unparsed": F.col("unparsed"), "Sanity_ObservationValue": observation & (F.col("n_value") != 1), "Sanity_ObservationDate": observation & (F.col("n_date") != 1),
         "Sanity_ObservationNumber": observation & (F.col("n_text") > 0), "Sanity_ReferenceType": F.col("loose_ref"), "Sanity_ClassCase": F.coalesce("small_class", F.lit(False)),
         "Sanity_VariableProps": (F.col("type") == "StatisticalVariable") & ((F.col("n_populationType") != 1) | (F.col("n_measuredProperty") != 1) | (F.col("n_statType") != 1)), "Sanity_PropertyValueCase": (F.col("type") == "StatisticalVariable") & F.coalesce("large_prop", F.lit(False)),
@@ -135,5 +139,12 @@ def curated_conflicts(pairs: DataFrame) -> DataFrame:
 
 
 def counters(found: DataFrame, message: str = "node_id", most: int = 30) -> DataFrame:
-    """counter, n and the first messages of each."""
-    return found.groupBy("counter").agg(F.count("*").alias("n"), F.slice(F.array_sort(F.collect_set(message)), 1, most).alias("examples"))
+    """counter, n and the first messages of each. Equal messages count together first, and every task hands on only its
+    first ``most`` of a counter, so no task holds all messages."""
+    per = found.select("counter", F.col(message).alias("message")).repartition(tasks(found.sparkSession), "counter", "message").groupBy("counter", "message").agg(F.count("*").alias("n"))
+    w = Window.partitionBy("counter").orderBy("message")
+    first = per.where("message is not null and n > 0").withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= most)
+    first = first.groupBy(F.col("counter").alias("c")).agg(F.array_sort(F.collect_list("message")).alias("examples"))
+    n = per.groupBy("counter").agg(F.sum("n").alias("n"))
+    none = F.array().cast(first.schema["examples"].dataType)
+    return n.join(first, n["counter"].eqNullSafe(first["c"]), "left").select("counter", "n", F.coalesce("examples", none).alias("examples"))
